@@ -1,0 +1,8 @@
+"""Streaming: intentionally empty.
+
+The workload is two batch jobs (term ranking, question clustering); it
+has no stream source, watermark, window or stateful operator, so there
+is nothing to express with Structured Streaming here. The batch
+operators take any DataFrame, so a caller holding a micro-batch (for
+example inside ``foreachBatch``) can apply them to it unchanged.
+"""
