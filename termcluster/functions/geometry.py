@@ -25,20 +25,24 @@ def squared_distance(x: Column, y: Column, cx, cy) -> Column:
     return dx * dx + dy * dy
 
 
-def nearest_centre(x: Column, y: Column, centres: Sequence[tuple[int, int]]) -> Column:
-    """Index of the closest centre; on equal distance the lowest index.
+def nearest_centre(x: str, y: str, centres: Sequence[tuple[int, int]]) -> Column:
+    """Index of the centre closest to the point in columns ``x``, ``y``;
+    on equal distance the lowest index.
 
     ``least`` over ``(distance, index)`` structs compares the distance
     first and the index second, which gives the lowest-index tie rule
-    in one codegen'd expression."""
+    in one codegen'd expression. It is handed to Spark as one SQL text
+    (a single call) rather than hundreds of Column-API calls, which
+    matters because k-means rebuilds it at every step."""
     if not centres:
         raise ValueError("no centres")
-    cands = [
-        F.struct(squared_distance(x, y, cx, cy).alias("d"), F.lit(i).alias("i"))
-        for i, (cx, cy) in enumerate(centres)
-    ]
-    best = cands[0] if len(cands) == 1 else F.least(*cands)
-    return best.getField("i")
+    xd, yd = f"double(`{x}`)", f"double(`{y}`)"
+    cands = []
+    for i, (cx, cy) in enumerate(centres):
+        dx, dy = f"({xd} - ({int(cx)}D))", f"({yd} - ({int(cy)}D))"
+        cands.append(f"named_struct('d', {dx} * {dx} + {dy} * {dy}, 'i', {i})")
+    best = cands[0] if len(cands) == 1 else f"least({', '.join(cands)})"
+    return F.expr(f"{best}.i")
 
 
 def term_index(tag: Column, terms: Sequence[str]) -> Column:
