@@ -31,6 +31,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from termcluster.functions.frames import literal_frame
 from termcluster.functions.geometry import nearest_centre
 from termcluster.session import reliable_checkpoint
 
@@ -72,8 +73,8 @@ def step_means(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFra
 
 def centres_frame(spark: SparkSession, centres: Sequence[tuple[int, int]]) -> DataFrame:
     """The (at most K) centres as ``(cluster int, x bigint, y bigint)``."""
-    return spark.createDataFrame([(i, int(x), int(y)) for i, (x, y) in enumerate(centres)],
-                                 "cluster int, x bigint, y bigint")
+    return literal_frame(spark, [(i, int(x), int(y)) for i, (x, y) in enumerate(centres)],
+                         ["cluster", "x", "y"], ["int", "bigint", "bigint"])
 
 
 def cluster_means(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:

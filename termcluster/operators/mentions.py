@@ -14,6 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from termcluster.functions.frames import literal_frame
 from termcluster.functions.text import mentioned_terms, mentions
 from termcluster.params import check_terms
 
@@ -72,7 +73,7 @@ def rank_terms_all(articles: DataFrame, terms, text: str = "text") -> DataFrame:
     are broadcast onto the term list, so the zero rows cost no shuffle."""
     terms = check_terms(terms)
     spark = articles.sparkSession
-    term_dim = spark.createDataFrame([(t,) for t in terms], "term string")
+    term_dim = literal_frame(spark, [(t,) for t in terms], ["term"], ["string"])
     counts = term_counts(articles, terms, text)
     joined = term_dim.join(F.broadcast(counts), "term", "left").select(
         "term", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
