@@ -61,14 +61,17 @@ def assign_nearest(points: DataFrame, centres: Sequence[tuple[int, int]]) -> Dat
 
 def step_means(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
     """``(cluster, x, y, n)`` for the non-empty clusters of one step:
-    truncated integer means (``div`` truncates toward zero) and sizes."""
-    w = _weight(points)
-    sums = (assign_nearest(points, centres)
-            .groupBy("cluster")
-            .agg(F.sum(F.col("x").cast("bigint") * w).alias("sx"),
-                 F.sum(F.col("y").cast("bigint") * w).alias("sy"),
-                 F.sum(w).alias("n")))
-    return sums.select("cluster", F.expr("sx div n").alias("x"), F.expr("sy div n").alias("y"), "n")
+    truncated integer means (``div`` truncates toward zero) and sizes.
+
+    One projection and one aggregate, built with as few API calls as
+    possible since the loop builds it at every step."""
+    assigned = points.select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
+                             _weight(points).alias("w"),
+                             nearest_centre("x", "y", list(centres)).alias("cluster"))
+    return assigned.groupBy("cluster").agg(
+        F.expr("sum(x * w) div sum(w)").alias("x"),
+        F.expr("sum(y * w) div sum(w)").alias("y"),
+        F.expr("sum(w)").alias("n"))
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[tuple[int, int]]) -> DataFrame:
@@ -131,8 +134,7 @@ def kmeans(points: DataFrame, centres: Sequence[tuple[int, int]], eta: float,
     it = 0
     while it < max_iterations:
         it += 1
-        means = {r["cluster"]: (int(r["x"]), int(r["y"]))
-                 for r in step_means(points, current).select("cluster", "x", "y").collect()}
+        means = {r["cluster"]: (int(r["x"]), int(r["y"])) for r in step_means(points, current).collect()}
         nxt = [means.get(i, c) for i, c in enumerate(current)]
         moved = movement(current, nxt)
         current = nxt

@@ -97,16 +97,20 @@ def score_vectors(postings: DataFrame, terms, spread: int, sort: bool = False) -
     """2-D integer points ``(id, x, y)`` with ``x = idx * spread`` and
     ``y = best answer score``, one per answered question with a listed tag.
 
-    The tag filter sits on the question side of the join (Catalyst pushes
-    it below the join), so unlisted questions never reach the shuffle.
+    The tag filter runs on the question side before any shuffle, so
+    unlisted questions never reach the exchange or the join.
     ``sort=True`` adds the global sort by x; nothing downstream needs it
     and with few distinct x it range-partitions badly, so it is off."""
     terms = check_terms(terms)
     if spread <= 0:
         raise ValueError("spread must be positive")
-    q = (unique_questions(postings)
+    # Tag index first, unlisted tags dropped, then one row per question id
+    # (a repeated id keeps its smallest listed index). Aggregating an int
+    # keeps this a hash aggregate; a string minimum would sort.
+    q = (questions(postings)
          .select("question_id", term_index(F.col("tag"), terms).alias("idx"))
-         .filter(F.col("idx") >= 0))
+         .filter(F.col("idx") >= 0)
+         .groupBy("question_id").agg(F.min("idx").alias("idx")))
     v = q.join(best_answer_scores(postings), "question_id", "inner").select(
         F.col("question_id").alias("id"),
         (F.col("idx") * F.lit(int(spread))).alias("x"),

@@ -82,9 +82,10 @@ scored AS (SELECT q.question_id, q.tag, b.max_score FROM uq q JOIN best b USING
 def _vector_ctes(p: ClusterParams) -> str:
     tags = _list(p.terms)
     return f"""{_postings_ctes()},
-vectors AS (SELECT question_id AS id, ((list_position({tags}, tag) - 1) * {p.spread})::INTEGER AS x,
-                   max_score AS y
-            FROM scored WHERE list_position({tags}, tag) IS NOT NULL),
+qidx AS (SELECT question_id, min(list_position({tags}, tag) - 1) AS idx FROM questions
+         WHERE list_position({tags}, tag) IS NOT NULL GROUP BY question_id),
+vectors AS (SELECT question_id AS id, (idx * {p.spread})::INTEGER AS x, max_score AS y
+            FROM qidx JOIN best USING (question_id)),
 smp AS (SELECT x, y, id,
                row_number() OVER (PARTITION BY x ORDER BY md5('{p.seed}:' || id::VARCHAR), id) AS rn
         FROM vectors QUALIFY rn <= {p.per_stratum}),
