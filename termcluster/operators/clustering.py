@@ -45,7 +45,7 @@ def prepare(postings: DataFrame, params: ClusterParams) -> Clustering:
     steps read are reliably checkpointed."""
     per_stratum = params.per_stratum if params.samples_by_stratum else None
     vectors = score_vectors(postings, params.terms, params.spread).persist(
-        StorageLevel.MEMORY_AND_DISK)
+        StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         centres = initial_centres(vectors, params.kernels, per_stratum, params.seed)
         points = km.checkpointed_points(vectors)

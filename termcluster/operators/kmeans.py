@@ -47,7 +47,7 @@ def checkpointed_points(vectors: DataFrame) -> DataFrame:
     """Weighted points, materialised in the shared checkpoint folder and
     kept in memory for the steps; a lost cached block is rebuilt from the
     checkpoint files, not from the source tables."""
-    return reliable_checkpoint(weighted_points(vectors)).persist(StorageLevel.MEMORY_AND_DISK)
+    return reliable_checkpoint(weighted_points(vectors)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
 def _weight(points: DataFrame):

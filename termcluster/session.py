@@ -39,7 +39,7 @@ def reliable_checkpoint(df: DataFrame) -> DataFrame:
     join when an executor is lost. The data is persisted first so the
     checkpoint write does not recompute it."""
     checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     out = df.checkpoint(eager=True)
     df.unpersist()
     return out
