@@ -1,13 +1,17 @@
 """Questions, answers, and the scoring of questions by their best answer.
 
 Shape of the work at scale: answers outnumber questions, and one
-question may hold a large share of all answers. So the best score is
-aggregated on the answers **before** the join (``groupBy(parent).max``:
-the partial aggregate leaves one row per question per map task, which
-flattens any hot question), and the join then matches at most one
-answer row per question. Questions are de-duplicated by id with an
-aggregate on the same key, so the join reuses that hash partitioning
-instead of adding an exchange.
+question may hold a large share of all answers.
+
+* ``score_vectors`` (the input of the clustering) keys every posting by
+  its question id and computes the tag index and the best score in one
+  hash aggregate: one exchange of pre-aggregated rows, no join, no sort.
+* ``question_max_score`` returns the tag text, whose minimum cannot be
+  hash-aggregated; it aggregates the answers **before** the join
+  (``groupBy(parent).max``: the partial aggregate leaves one row per
+  question per map task, which flattens any hot question) and joins them
+  to the questions de-duplicated on the same key, so the join reuses that
+  partitioning and ordering instead of adding an exchange.
 """
 
 from __future__ import annotations
@@ -97,22 +101,30 @@ def score_vectors(postings: DataFrame, terms, spread: int, sort: bool = False) -
     """2-D integer points ``(id, x, y)`` with ``x = idx * spread`` and
     ``y = best answer score``, one per answered question with a listed tag.
 
-    The tag filter runs on the question side before any shuffle, so
-    unlisted questions never reach the exchange or the join.
+    Questions and answers are rows of the same posting table, so instead
+    of aggregating each side and joining them, every posting is keyed by
+    its question id and **one** hash aggregate computes both the tag index
+    (``min`` over the question rows; a repeated id keeps its smallest
+    listed index) and the best score (``max`` over the answer rows). One
+    exchange of pre-aggregated rows, no join and no sort: a hot question
+    collapses to one row per map task, and unlisted questions are dropped
+    before the shuffle. Ids with both parts are the inner-join result.
+
     ``sort=True`` adds the global sort by x; nothing downstream needs it
     and with few distinct x it range-partitions badly, so it is off."""
     terms = check_terms(terms)
     if spread <= 0:
         raise ValueError("spread must be positive")
-    # Tag index first, unlisted tags dropped, then one row per question id
-    # (a repeated id keeps its smallest listed index). Aggregating an int
-    # keeps this a hash aggregate; a string minimum would sort.
     q = (questions(postings)
-         .select("question_id", term_index(F.col("tag"), terms).alias("idx"))
-         .filter(F.col("idx") >= 0)
-         .groupBy("question_id").agg(F.min("idx").alias("idx")))
-    v = q.join(best_answer_scores(postings), "question_id", "inner").select(
-        F.col("question_id").alias("id"),
-        (F.col("idx") * F.lit(int(spread))).alias("x"),
-        F.col("max_score").alias("y"))
+         .select("question_id", term_index(F.col("tag"), terms).alias("idx"),
+                 F.lit(None).cast("int").alias("score"))
+         .filter(F.col("idx") >= 0))
+    a = answers(postings).select("question_id", F.lit(None).cast("int").alias("idx"), "score")
+    both = (q.unionByName(a)
+            .groupBy("question_id")
+            .agg(F.min("idx").alias("idx"), F.max("score").alias("max_score"))
+            .filter(F.col("idx").isNotNull() & F.col("max_score").isNotNull()))
+    v = both.select(F.col("question_id").alias("id"),
+                    (F.col("idx") * F.lit(int(spread))).alias("x"),
+                    F.col("max_score").alias("y"))
     return v.orderBy("x") if sort else v

@@ -77,3 +77,24 @@ def test_matches_duckdb(spark, duck, name):
 
 def test_every_query_has_an_oracle_but_sampling():
     assert set(entry.queries()) - set(entry.oracle_sql()) == {"lines_sample_with_replacement"}
+
+
+def _partial_before_exchange(plan_text, partial_fn):
+    """True when a partial aggregate of ``partial_fn`` sits below an Exchange."""
+    lines = plan_text.splitlines()
+    ex = [i for i, ln in enumerate(lines) if "Exchange hashpartitioning" in ln]
+    part = [i for i, ln in enumerate(lines) if partial_fn in ln]
+    return any(p > e for e in ex for p in part)
+
+
+@pytest.mark.parametrize("name,partial", [
+    ("rank_terms_grouped", "partial_count"),
+    ("question_max_score", "partial_max"),
+    ("score_vectors", "partial_max"),
+    ("cluster_sizes", "partial_sum"),
+    ("cluster_median", "partial_percentile"),
+])
+def test_hot_keys_are_pre_aggregated(spark, name, partial):
+    """A key holding a third of all rows must be collapsed map-side."""
+    p = plan(QUERIES[name](spark, SF))
+    assert _partial_before_exchange(p, partial), p
