@@ -1,9 +1,11 @@
 """Column-expression helpers (all built-in Spark functions, no UDF)."""
 
-from termcluster.functions.geometry import nearest_centre, squared_distance, term_index, term_label
+from termcluster.functions.geometry import (centre_array_sql, nearest_centre, nearest_centre_sql,
+                                            squared_distance, term_index, term_label)
 from termcluster.functions.text import mentioned_terms, mentions, term_array, tokens
 
 __all__ = [
-    "mentioned_terms", "mentions", "nearest_centre", "squared_distance",
+    "centre_array_sql", "mentioned_terms", "mentions", "nearest_centre", "nearest_centre_sql",
+    "squared_distance",
     "term_array", "term_index", "term_label", "tokens",
 ]

@@ -1,8 +1,8 @@
 """Column expressions for 2-D integer points and their centres.
 
 Centres are few (``kernels``) and live on the driver between k-means
-steps, so they enter the plan as literals: every expression here stays
-inside whole-stage codegen and nothing is broadcast or joined per step.
+steps, so they enter the plan as one literal array value: nothing is
+broadcast or joined per step, and the plan of a step does not grow.
 """
 
 from __future__ import annotations
@@ -25,24 +25,34 @@ def squared_distance(x: Column, y: Column, cx, cy) -> Column:
     return dx * dx + dy * dy
 
 
-def nearest_centre(x: str, y: str, centres: Sequence[tuple[int, int]]) -> Column:
-    """Index of the centre closest to the point in columns ``x``, ``y``;
-    on equal distance the lowest index.
-
-    ``least`` over ``(distance, index)`` structs compares the distance
-    first and the index second, which gives the lowest-index tie rule
-    in one codegen'd expression. It is handed to Spark as one SQL text
-    (a single call) rather than hundreds of Column-API calls, which
-    matters because k-means rebuilds it at every step."""
+def centre_array_sql(centres: Sequence[tuple[int, int]]) -> str:
+    """SQL text of the centres as one ``array<struct<x: double, y: double>>``
+    literal (exact for integer coordinates below 2^53)."""
     if not centres:
         raise ValueError("no centres")
+    return "array(" + ", ".join(
+        f"named_struct('x', {int(cx)}D, 'y', {int(cy)}D)" for cx, cy in centres) + ")"
+
+
+def nearest_centre_sql(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> str:
+    """SQL of the index of the centre closest to ``(x, y)`` by squared
+    distance; on equal distance the lowest index.
+
+    ``transform`` pairs every centre with its ``(distance, index)`` and
+    ``array_min`` compares the distance first and the index second. The
+    centres are one array value, so the expression has the same small
+    size for any number of centres and its code does not change when the
+    centres move (a k-means loop compiles nothing per step); an unrolled
+    per-centre expression is recompiled every step and outgrows the JVM
+    method limit at a few dozen centres."""
     xd, yd = f"double(`{x}`)", f"double(`{y}`)"
-    cands = []
-    for i, (cx, cy) in enumerate(centres):
-        dx, dy = f"({xd} - ({int(cx)}D))", f"({yd} - ({int(cy)}D))"
-        cands.append(f"named_struct('d', {dx} * {dx} + {dy} * {dy}, 'i', {i})")
-    best = cands[0] if len(cands) == 1 else f"least({', '.join(cands)})"
-    return F.expr(f"{best}.i")
+    return (f"array_min(transform({centre_array_sql(centres)}, (c, i) -> named_struct("
+            f"'d', ({xd} - c.x) * ({xd} - c.x) + ({yd} - c.y) * ({yd} - c.y), 'i', i))).i")
+
+
+def nearest_centre(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> Column:
+    """Column: index of the nearest centre (see ``nearest_centre_sql``)."""
+    return F.expr(nearest_centre_sql(centres, x, y))
 
 
 def term_index(tag: Column, terms: Sequence[str]) -> Column:

@@ -16,10 +16,12 @@ Execution plan:
 * The weighted points are written to the shared checkpoint folder, so
   every step starts from stable storage (a lost executor re-reads the
   checkpoint instead of recomputing the scan and the join).
-* Centres enter each step as literals (``functions.geometry``), so the
-  plan of a step does not grow across iterations; a step is one job
-  whose partial aggregate sends at most ``K`` rows per task through the
-  shuffle, and the driver receives at most ``K`` rows.
+* Centres enter each step as one literal array
+  (``functions.geometry.nearest_centre_sql``), so the plan of a step
+  does not grow across iterations and its code does not change when the
+  centres move; a step is one job whose partial aggregate sends at most
+  ``K`` rows per task through the shuffle, and the driver receives at
+  most ``K`` rows.
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termcluster.functions.frames import literal_frame
-from termcluster.functions.geometry import nearest_centre
+from termcluster.functions.geometry import nearest_centre, nearest_centre_sql
 from termcluster.session import reliable_checkpoint
 
 Centres = list[tuple[int, int]]
@@ -56,22 +58,20 @@ def _weight(points: DataFrame):
 
 def assign_nearest(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
     """``points`` plus ``cluster``, the index of the nearest centre."""
-    return points.withColumn("cluster", nearest_centre("x", "y", list(centres)))
+    return points.withColumn("cluster", nearest_centre(list(centres)))
 
 
 def step_means(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
     """``(cluster, x, y, n)`` for the non-empty clusters of one step:
     truncated integer means (``div`` truncates toward zero) and sizes.
 
-    One projection and one aggregate, built with as few API calls as
-    possible since the loop builds it at every step."""
-    assigned = points.select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
-                             _weight(points).alias("w"),
-                             nearest_centre("x", "y", list(centres)).alias("cluster"))
-    return assigned.groupBy("cluster").agg(
-        F.expr("sum(x * w) div sum(w)").alias("x"),
-        F.expr("sum(y * w) div sum(w)").alias("y"),
-        F.expr("sum(w)").alias("n"))
+    One SQL statement over the points (plain points weigh 1), so building
+    it at every iteration costs a single parse and analysis."""
+    weight = "w" if "w" in points.columns else "1L"
+    return points.sparkSession.sql(
+        "SELECT cluster, sum(x * w) div sum(w) AS x, sum(y * w) div sum(w) AS y, sum(w) AS n FROM ("
+        f"SELECT bigint(x) AS x, bigint(y) AS y, {weight} AS w, {nearest_centre_sql(list(centres))} AS cluster "
+        "FROM {points}) GROUP BY cluster", points=points)
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[tuple[int, int]]) -> DataFrame:

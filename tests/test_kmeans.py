@@ -177,3 +177,13 @@ def test_report_sizes_sum_to_points(spark):
     centres = [(s * SPREAD, 50) for s in range(5)]
     sizes = rows(rep.cluster_sizes(km.weighted_points(pts), centres))
     assert sum(s for _, s in sizes) == 400
+
+
+def test_many_centres_step_matches_brute_force(spark):
+    """A large K (above the reference's 45) keeps the exact tie rule."""
+    rnd = random.Random(7)
+    pts = [(rnd.randrange(15) * 50000, rnd.randrange(0, 2000)) for _ in range(500)]
+    centres = [(rnd.randrange(15) * 50000, rnd.randrange(0, 2000)) for _ in range(60)]
+    want, _ = brute_kmeans(pts, centres, float("inf"), 1)   # one step
+    got = km.kmeans(points(spark, pts), centres, float("inf"), 1)
+    assert got.centres == want and got.iterations == 1
