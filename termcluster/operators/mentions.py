@@ -69,15 +69,16 @@ def rank_terms_all(articles: DataFrame, terms, text: str = "text") -> DataFrame:
     """Ranking over every listed term, with ``n = 0`` for terms that no
     article mentions.
 
-    The counts (at most one row per term, a bound fixed by the term list)
-    are broadcast onto the term list, so the zero rows cost no shuffle."""
+    The term list (one row per term, weight 0) is unioned with the
+    mentions (weight 1) and one aggregate sums them: the zero rows ride
+    on the same partial + final aggregate, with no join and no broadcast."""
     terms = check_terms(terms)
     spark = articles.sparkSession
-    term_dim = literal_frame(spark, [(t,) for t in terms], ["term"], ["string"])
-    counts = term_counts(articles, terms, text)
-    joined = term_dim.join(F.broadcast(counts), "term", "left").select(
-        "term", F.coalesce(F.col("n"), F.lit(0)).alias("n"))
-    return with_rank(joined)
+    zero = literal_frame(spark, [(t, 0) for t in terms], ["term", "one"], ["string", "int"])
+    mentioned = articles.select(F.explode(mentioned_terms(text, terms)).alias("term"),
+                                F.lit(1).alias("one"))
+    counts = zero.unionByName(mentioned).groupBy("term").agg(F.sum("one").alias("n"))
+    return with_rank(counts)
 
 
 def rank_terms_grouped(articles: DataFrame, terms, text: str = "text") -> DataFrame:
