@@ -46,8 +46,11 @@ def nearest_centre_sql(centres: Sequence[tuple[int, int]], x: str = "x", y: str
     per-centre expression is recompiled every step and outgrows the JVM
     method limit at a few dozen centres."""
     xd, yd = f"double(`{x}`)", f"double(`{y}`)"
-    return (f"array_min(transform({centre_array_sql(centres)}, (c, i) -> named_struct("
-            f"'d', ({xd} - c.x) * ({xd} - c.x) + ({yd} - c.y) * ({yd} - c.y), 'i', i))).i")
+    # array_min over a non-empty list is never null; the coalesce only
+    # declares that, so joins on the index do not make Catalyst add an
+    # isnotnull pre-filter that would evaluate the expression twice.
+    return (f"coalesce(array_min(transform({centre_array_sql(centres)}, (c, i) -> named_struct("
+            f"'d', ({xd} - c.x) * ({xd} - c.x) + ({yd} - c.y) * ({yd} - c.y), 'i', i))).i, -1)")
 
 
 def nearest_centre(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> Column:

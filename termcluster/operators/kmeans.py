@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termcluster.functions.frames import literal_frame
-from termcluster.functions.geometry import nearest_centre, nearest_centre_sql
+from termcluster.functions.geometry import nearest_centre
 from termcluster.session import reliable_checkpoint
 
 Centres = list[tuple[int, int]]
@@ -65,13 +65,14 @@ def step_means(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFra
     """``(cluster, x, y, n)`` for the non-empty clusters of one step:
     truncated integer means (``div`` truncates toward zero) and sizes.
 
-    One SQL statement over the points (plain points weigh 1), so building
-    it at every iteration costs a single parse and analysis."""
-    weight = "w" if "w" in points.columns else "1L"
-    return points.sparkSession.sql(
-        "SELECT cluster, sum(x * w) div sum(w) AS x, sum(y * w) div sum(w) AS y, sum(w) AS n FROM ("
-        f"SELECT bigint(x) AS x, bigint(y) AS y, {weight} AS w, {nearest_centre_sql(list(centres))} AS cluster "
-        "FROM {points}) GROUP BY cluster", points=points)
+    Two DataFrame calls (plain points weigh 1), so building the step at
+    every iteration is cheap, and the scan uses the cached points."""
+    weight = F.col("w") if "w" in points.columns else F.lit(1).cast("bigint")
+    assigned = points.select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
+                             weight.alias("w"), nearest_centre(list(centres)).alias("cluster"))
+    return assigned.groupBy("cluster").agg(F.expr("sum(x * w) div sum(w)").alias("x"),
+                                           F.expr("sum(y * w) div sum(w)").alias("y"),
+                                           F.expr("sum(w)").alias("n"))
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[tuple[int, int]]) -> DataFrame:
