@@ -30,6 +30,11 @@ class Clustering:
         return rep.cluster_report(self.points, self.final_centres, self.params.terms,
                                   self.params.spread)
 
+    def release(self) -> None:
+        """Drop the in-memory copy of the points (the checkpoint stays; a
+        later report reads it from the checkpoint folder)."""
+        self.points.unpersist()
+
     @property
     def final_centres(self) -> km.Centres:
         if self.result is None:

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termcluster.functions.frames import literal_frame
-from termcluster.functions.geometry import nearest_centre
+from termcluster.functions.geometry import nearest_centre, squared_distance
 from termcluster.session import reliable_checkpoint
 
 Centres = list[tuple[int, int]]
@@ -95,8 +95,7 @@ def centre_movement(old: DataFrame, new: DataFrame) -> DataFrame:
     between their old and new positions (K rows each side)."""
     o = old.select("cluster", F.col("x").alias("ox"), F.col("y").alias("oy"))
     d = o.join(F.broadcast(new), "cluster", "inner").select(
-        ((F.col("x").cast("double") - F.col("ox").cast("double")) ** 2
-         + (F.col("y").cast("double") - F.col("oy").cast("double")) ** 2).alias("d"))
+        squared_distance(F.col("x"), F.col("y"), F.col("ox"), F.col("oy")).alias("d"))
     return d.agg(F.coalesce(F.sum("d"), F.lit(0.0)).alias("movement"))
 
 

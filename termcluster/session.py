@@ -15,13 +15,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
     Taken from the context (``setCheckpointDir``) or the
     ``spark.checkpoint.dir`` setting. Only a local-mode session without
     either gets a fresh temporary folder; on a cluster a machine-local
-    folder would not survive the loss of an executor, so we refuse.
-    """
-    sc = spark.sparkContext
+    folder would not survive the loss of an executor, so we refuse."""
+    configured = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: no context; the server reads the setting
+        if configured:
+            return configured
+        raise RuntimeError("set spark.checkpoint.dir to a shared folder") from None
     current = sc.getCheckpointDir()
     if current:
         return current
-    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured

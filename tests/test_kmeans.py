@@ -187,3 +187,15 @@ def test_many_centres_step_matches_brute_force(spark):
     want, _ = brute_kmeans(pts, centres, float("inf"), 1)   # one step
     got = km.kmeans(points(spark, pts), centres, float("inf"), 1)
     assert got.centres == want and got.iterations == 1
+
+
+def test_report_survives_release_of_cached_points(spark):
+    from termcluster.operators.clustering import cluster_questions
+    from termcluster.sources.postings import POSTING_SCHEMA
+    data = [(1, q, None, None, 0, ("Java", "Scala")[q % 2]) for q in range(1, 31)]
+    data += [(2, 100 + q, None, q, (q * 13) % 40, None) for q in range(1, 31)]
+    run = cluster_questions(spark.createDataFrame(data, POSTING_SCHEMA),
+                            ClusterParams(terms=("Java", "Scala"), kernels=4))
+    before = report(run.report())
+    run.release()
+    assert report(run.report()) == before and sum(r[2] for r in before) == 30
