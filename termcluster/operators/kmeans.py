@@ -52,7 +52,8 @@ def checkpointed_points(vectors: DataFrame) -> DataFrame:
     return reliable_checkpoint(weighted_points(vectors)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
-def _weight(points: DataFrame):
+def point_weight(points: DataFrame):
+    """The weight column of ``points``: ``w`` when present, else 1."""
     return F.col("w") if "w" in points.columns else F.lit(1).cast("bigint")
 
 

@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termcluster.functions.geometry import term_label
-from termcluster.operators.kmeans import _weight, assign_nearest
+from termcluster.operators.kmeans import assign_nearest, point_weight
 
 # The printed report line (median, label, percent, size).
 REPORT_FORMAT = "%7d  %-17s (%-5.1f%%)      %7d"
 
 
 def _assigned(points: DataFrame, centres) -> DataFrame:
-    return assign_nearest(points, centres).select("cluster", "x", "y", _weight(points).alias("w"))
+    return assign_nearest(points, centres).select("cluster", "x", "y", point_weight(points).alias("w"))
 
 
 def cluster_sizes(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
