@@ -48,7 +48,9 @@ def prepare(postings: DataFrame, params: ClusterParams) -> Clustering:
     The vectors feed two jobs (the sample and the point aggregate), so
     they are persisted for the duration; the points that the k-means
     steps read are reliably checkpointed."""
-    per_stratum = params.per_stratum if params.samples_by_stratum else None
+    per_stratum = params.per_stratum       # raises unless kernels is a multiple of the terms
+    if not params.samples_by_stratum:
+        per_stratum = None                 # strata too close: one global sample
     vectors = score_vectors(postings, params.terms, params.spread).persist(
         StorageLevel.MEMORY_AND_DISK_DESER)
     try:

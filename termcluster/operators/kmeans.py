@@ -68,9 +68,8 @@ def step_means(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFra
 
     Two DataFrame calls (plain points weigh 1), so building the step at
     every iteration is cheap, and the scan uses the cached points."""
-    weight = F.col("w") if "w" in points.columns else F.lit(1).cast("bigint")
     assigned = points.select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
-                             weight.alias("w"), nearest_centre(list(centres)).alias("cluster"))
+                             point_weight(points).alias("w"), nearest_centre(list(centres)).alias("cluster"))
     return assigned.groupBy("cluster").agg(F.expr("sum(x * w) div sum(w)").alias("x"),
                                            F.expr("sum(y * w) div sum(w)").alias("y"),
                                            F.expr("sum(w)").alias("n"))

@@ -78,3 +78,12 @@ def test_sorted_vectors_option(spark):
     df = spark.createDataFrame(data, POSTING_SCHEMA)
     xs = [r["x"] for r in score_vectors(df, ("Java", "Scala"), 10, sort=True).collect()]
     assert xs == sorted(xs)
+
+
+def test_kernels_must_divide_by_terms_on_both_sampling_paths(spark):
+    import pytest
+    data = [(1, 1, None, None, 0, "Java"), (2, 2, None, 1, 5, None)]
+    postings = spark.createDataFrame(data, POSTING_SCHEMA)
+    for spread in (50000, 100):
+        with pytest.raises(ValueError):
+            clustering.prepare(postings, ClusterParams(terms=("Java", "Scala"), spread=spread, kernels=3))

@@ -79,3 +79,11 @@ def test_sample_lines_is_distributed_and_seeded(spark):
     a = post.sample_lines(df, 0.1, 0).collect()
     b = post.sample_lines(df, 0.1, 0).collect()
     assert a == b and 0 < len(a) < 300
+
+
+def test_article_dump_scan(spark, tmp_path):
+    p = tmp_path / "articles.dat"
+    head, tail = "<page> <title>", "</text> </page> "
+    p.write_text(f"{head}A</title><text>Scala is fun{tail}\n{head}B</title><text>Java, not Java{tail}\n")
+    df = art.parse_articles(art.read_article_lines(spark, str(p)))
+    assert sorted(map(tuple, df.collect())) == [("A", "Scala is fun"), ("B", "Java, not Java")]
