@@ -48,8 +48,23 @@ def weighted_points(vectors: DataFrame) -> DataFrame:
 def checkpointed_points(vectors: DataFrame) -> DataFrame:
     """Weighted points, materialised in the shared checkpoint folder and
     kept in memory for the steps; a lost cached block is rebuilt from the
-    checkpoint files, not from the source tables."""
-    return reliable_checkpoint(weighted_points(vectors)).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+    checkpoint files, not from the source tables.
+
+    The points keep at most one partition per core of the session (a
+    narrow ``coalesce``), so a step never launches more map tasks than
+    there are cores, whatever the shuffle partition setting."""
+    points = weighted_points(vectors)
+    cores = _default_parallelism(vectors.sparkSession)
+    if cores:
+        points = points.coalesce(cores)
+    return reliable_checkpoint(points).persist(StorageLevel.MEMORY_AND_DISK_DESER)
+
+
+def _default_parallelism(spark: SparkSession) -> int | None:
+    try:
+        return int(spark.sparkContext.defaultParallelism)
+    except Exception:  # no context (Spark Connect): keep the partitions as they are
+        return None
 
 
 def point_weight(points: DataFrame):
@@ -70,9 +85,11 @@ def step_means(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFra
     every iteration is cheap, and the scan uses the cached points."""
     assigned = points.select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
                              point_weight(points).alias("w"), nearest_centre(list(centres)).alias("cluster"))
+    # At most K rows leave the final aggregate: one task reads them all,
+    # whatever the number of shuffle partitions (and with or without AQE).
     return assigned.groupBy("cluster").agg(F.expr("sum(x * w) div sum(w)").alias("x"),
                                            F.expr("sum(y * w) div sum(w)").alias("y"),
-                                           F.expr("sum(w)").alias("n"))
+                                           F.expr("sum(w)").alias("n")).coalesce(1)
 
 
 def centres_frame(spark: SparkSession, centres: Sequence[tuple[int, int]]) -> DataFrame:
