@@ -98,3 +98,19 @@ def test_hot_keys_are_pre_aggregated(spark, name, partial):
     """A key holding a third of all rows must be collapsed map-side."""
     p = plan(QUERIES[name](spark, SF))
     assert _partial_before_exchange(p, partial), p
+
+
+def test_kmeans_step_shape(spark):
+    """A step: partial aggregate, one exchange, final aggregate read by one
+    task; the points keep at most one partition per core."""
+    from termcluster.operators import kmeans as km
+    from termcluster.operators.clustering import prepare
+    from termcluster.plans.catalog import POSTING_PARAMS
+    from termcluster.sources import tables
+    run = prepare(tables.postings(spark, SF), POSTING_PARAMS)
+    assert run.points.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    step = km.step_means(run.points, run.initial)
+    p = plan(step)
+    assert "Coalesce 1" in p and "partial_sum" in p and "InMemoryTableScan" in p
+    assert step.rdd.getNumPartitions() == 1
+    run.release()
