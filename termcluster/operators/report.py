@@ -18,8 +18,14 @@ from pyspark.sql import functions as F
 from termcluster.functions.geometry import term_label
 from termcluster.operators.kmeans import assign_nearest, point_weight
 
-# The printed report line (median, label, percent, size).
+# The printed report line (median, label, percent, size)
+# and the three header lines printed above it.
 REPORT_FORMAT = "%7d  %-17s (%-5.1f%%)      %7d"
+REPORT_HEADER = (
+    "Resulting clusters:",
+    "  Score  Dominant language (%percent)  Questions",
+    "================================================",
+)
 
 
 def _assigned(points: DataFrame, centres) -> DataFrame:
@@ -74,3 +80,12 @@ def report_lines(report: DataFrame) -> DataFrame:
     return report.select(
         F.format_string(REPORT_FORMAT, "median", "label", "percent", "size").alias("line"),
         "median", "label").orderBy("median", "label").select("line")
+
+
+def print_report(report: DataFrame, out=print) -> None:
+    """Console sink: the header lines, then one formatted line per cluster
+    in report order. Collects the report, which has at most K rows."""
+    for line in REPORT_HEADER:
+        out(line)
+    for row in report_lines(report).collect():
+        out(row["line"])

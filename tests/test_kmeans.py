@@ -199,3 +199,12 @@ def test_report_survives_release_of_cached_points(spark):
     before = report(run.report())
     run.release()
     assert report(run.report()) == before and sum(r[2] for r in before) == 30
+
+
+def test_print_report(spark):
+    pts = points(spark, [(500000, 20), (500000, 40), (0, 7)])
+    lines = []
+    rep.print_report(rep.cluster_report(pts, [(0, 0), (500000, 30)], LANGUAGES, SPREAD), lines.append)
+    assert lines[:3] == list(rep.REPORT_HEADER)
+    assert lines[3:] == ["      7  JavaScript        (100.0%)            1",
+                         "     30  Scala             (100.0%)            2"]
