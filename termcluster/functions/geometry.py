@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -34,28 +34,41 @@ def centre_array_sql(centres: Sequence[tuple[int, int]]) -> str:
         f"named_struct('x', {int(cx)}D, 'y', {int(cy)}D)" for cx, cy in centres) + ")"
 
 
-def nearest_centre_sql(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> str:
-    """SQL of the index of the centre closest to ``(x, y)`` by squared
-    distance; on equal distance the lowest index.
-
-    ``transform`` pairs every centre with its ``(distance, index)`` and
-    ``array_min`` compares the distance first and the index second. The
-    centres are one array value, so the expression has the same small
-    size for any number of centres and its code does not change when the
-    centres move (a k-means loop compiles nothing per step); an unrolled
-    per-centre expression is recompiled every step and outgrows the JVM
-    method limit at a few dozen centres."""
+def centre_distances_sql(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> str:
+    """SQL of the array of squared distances from ``(x, y)`` to every
+    centre, in centre order (``transform`` over one centre array)."""
     xd, yd = f"double(`{x}`)", f"double(`{y}`)"
-    # array_min over a non-empty list is never null; the coalesce only
-    # declares that, so joins on the index do not make Catalyst add an
-    # isnotnull pre-filter that would evaluate the expression twice.
-    return (f"coalesce(array_min(transform({centre_array_sql(centres)}, (c, i) -> named_struct("
-            f"'d', ({xd} - c.x) * ({xd} - c.x) + ({yd} - c.y) * ({yd} - c.y), 'i', i))).i, -1)")
-
-
-def nearest_centre(centres: Sequence[tuple[int, int]], x: str = "x", y: str = "y") -> Column:
-    """Column: index of the nearest centre (see ``nearest_centre_sql``)."""
-    return F.expr(nearest_centre_sql(centres, x, y))
+    return (f"transform({centre_array_sql(centres)}, c -> "
+            f"({xd} - c.x) * ({xd} - c.x) + ({yd} - c.y) * ({yd} - c.y))")
+
+
+def nearest_index_sql(distances: str) -> str:
+    """SQL of the 0-based position of the smallest distance in the array
+    column ``distances``; ties go to the first (lowest) index, since
+    ``array_position`` returns the first element equal to the minimum.
+    The minimum is one of the elements, so the equality is exact."""
+    # Never null for a non-empty list; the coalesce only declares that, so
+    # joins on the index do not make Catalyst add an isnotnull pre-filter
+    # that would compute the distances twice.
+    return f"coalesce(int(array_position(`{distances}`, array_min(`{distances}`))) - 1, -1)"
+
+
+def with_nearest_centre(df: DataFrame, centres: Sequence[tuple[int, int]], x: str = "x",
+                        y: str = "y", out: str = "cluster") -> DataFrame:
+    """``df`` plus ``out``, the index of the centre closest to ``(x, y)`` by
+    squared distance (lowest index on ties).
+
+    The centres are one array value, so the expressions have the same
+    small size for any number of centres and their code does not change
+    when the centres move (a k-means loop compiles nothing per step). An
+    unrolled per-centre expression is recompiled every step and outgrows
+    the JVM method limit at a few dozen centres. The distances are their
+    own column, computed once per row, and hold plain doubles (no struct
+    per centre)."""
+    tmp = "_centre_distances"
+    return (df.withColumn(tmp, F.expr(centre_distances_sql(centres, x, y)))
+            .withColumn(out, F.expr(nearest_index_sql(tmp)))
+            .drop(tmp))
 
 
 def term_index(tag: Column, terms: Sequence[str]) -> Column:

@@ -17,7 +17,7 @@ Execution plan:
   every step starts from stable storage (a lost executor re-reads the
   checkpoint instead of recomputing the scan and the join).
 * Centres enter each step as one literal array
-  (``functions.geometry.nearest_centre_sql``), so the plan of a step
+  (``functions.geometry.with_nearest_centre``), so the plan of a step
   does not grow across iterations and its code does not change when the
   centres move; a step is one job whose partial aggregate sends at most
   ``K`` rows per task through the shuffle, and the driver receives at
@@ -34,7 +34,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termcluster.functions.frames import literal_frame
-from termcluster.functions.geometry import nearest_centre, squared_distance
+from termcluster.functions.geometry import (centre_distances_sql, nearest_index_sql, squared_distance,
+                                            with_nearest_centre)
 from termcluster.session import reliable_checkpoint
 
 Centres = list[tuple[int, int]]
@@ -74,17 +75,19 @@ def point_weight(points: DataFrame):
 
 def assign_nearest(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
     """``points`` plus ``cluster``, the index of the nearest centre."""
-    return points.withColumn("cluster", nearest_centre(list(centres)))
+    return with_nearest_centre(points, list(centres))
 
 
 def step_means(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
     """``(cluster, x, y, n)`` for the non-empty clusters of one step:
     truncated integer means (``div`` truncates toward zero) and sizes.
 
-    Two DataFrame calls (plain points weigh 1), so building the step at
+    A few DataFrame calls (plain points weigh 1), so building the step at
     every iteration is cheap, and the scan uses the cached points."""
-    assigned = points.select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
-                             point_weight(points).alias("w"), nearest_centre(list(centres)).alias("cluster"))
+    dists = points.select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
+                          point_weight(points).alias("w"),
+                          F.expr(centre_distances_sql(list(centres))).alias("_d"))
+    assigned = dists.select("x", "y", "w", F.expr(nearest_index_sql("_d")).alias("cluster"))
     # At most K rows leave the final aggregate: one task reads them all,
     # whatever the number of shuffle partitions (and with or without AQE).
     return assigned.groupBy("cluster").agg(F.expr("sum(x * w) div sum(w)").alias("x"),
