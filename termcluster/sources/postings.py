@@ -29,9 +29,15 @@ POSTING_SCHEMA = T.StructType([
 _INT_PATTERN = r"^[+-]?[0-9]+$"
 
 
-def read_posting_lines(spark: SparkSession, path: str) -> DataFrame:
-    """Scan a posting file (one record per line) into ``value string``."""
-    return spark.read.text(path)
+def read_posting_lines(spark: SparkSession, path: str,
+                       sample_fraction: float | None = None, seed: int = 0) -> DataFrame:
+    """Scan a posting file (one record per line) into ``value string``;
+    with ``sample_fraction``, a with-replacement sample of the lines
+    (``sample_lines``)."""
+    lines = spark.read.text(path)
+    if sample_fraction is not None:
+        lines = sample_lines(lines, fraction=sample_fraction, seed=seed, with_replacement=True)
+    return lines
 
 
 def _strict_int(field: Column, type_: str, what: str) -> Column:

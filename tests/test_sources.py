@@ -87,3 +87,12 @@ def test_article_dump_scan(spark, tmp_path):
     p.write_text(f"{head}A</title><text>Scala is fun{tail}\n{head}B</title><text>Java, not Java{tail}\n")
     df = art.parse_articles(art.read_article_lines(spark, str(p)))
     assert sorted(map(tuple, df.collect())) == [("A", "Scala is fun"), ("B", "Java, not Java")]
+
+
+def test_posting_scan_with_sample(spark, tmp_path):
+    p = tmp_path / "many.csv"
+    p.write_text("".join(f"2,{i},,1,{i % 7}\n" for i in range(2000)))
+    full = post.read_posting_lines(spark, str(p)).count()
+    a = post.read_posting_lines(spark, str(p), sample_fraction=0.1).collect()
+    b = post.read_posting_lines(spark, str(p), sample_fraction=0.1).collect()
+    assert full == 2000 and a == b and 100 < len(a) < 320
