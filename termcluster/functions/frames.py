@@ -22,4 +22,4 @@ def literal_frame(spark: SparkSession, rows: Sequence[tuple], names: Sequence[st
         return spark.createDataFrame([], schema)
     structs = [F.struct(*[F.lit(v).cast(t).alias(n) for v, n, t in zip(r, names, types)])
                for r in rows]
-    return spark.range(1).select(F.inline(F.array(*structs)))
+    return spark.range(1, numPartitions=1).select(F.inline(F.array(*structs)))
