@@ -78,15 +78,23 @@ def assign_nearest(points: DataFrame, centres: Sequence[tuple[int, int]]) -> Dat
     return with_nearest_centre(points, list(centres))
 
 
-def step_means(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
+def step_input(points: DataFrame) -> DataFrame:
+    """``(x bigint, y bigint, w bigint)``: the part of a step that does not
+    depend on the centres (plain points weigh 1); built once per run."""
+    return points.select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
+                         point_weight(points).cast("bigint").alias("w"))
+
+
+def step_means(points: DataFrame, centres: Sequence[tuple[int, int]],
+               prepared: DataFrame | None = None) -> DataFrame:
     """``(cluster, x, y, n)`` for the non-empty clusters of one step:
     truncated integer means (``div`` truncates toward zero) and sizes.
 
-    A few DataFrame calls (plain points weigh 1), so building the step at
-    every iteration is cheap, and the scan uses the cached points."""
-    dists = points.select(F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"),
-                          point_weight(points).alias("w"),
-                          F.expr(centre_distances_sql(list(centres))).alias("_d"))
+    A few DataFrame calls over the cached points (``prepared`` is
+    ``step_input(points)``, reused across steps), so building the step
+    at every iteration is cheap."""
+    base = prepared if prepared is not None else step_input(points)
+    dists = base.select("x", "y", "w", F.expr(centre_distances_sql(list(centres))).alias("_d"))
     assigned = dists.select("x", "y", "w", F.expr(nearest_index_sql("_d")).alias("cluster"))
     # At most K rows leave the final aggregate: one task reads them all,
     # whatever the number of shuffle partitions (and with or without AQE).
@@ -152,9 +160,11 @@ def kmeans(points: DataFrame, centres: Sequence[tuple[int, int]], eta: float,
         raise ValueError("max_iterations must be positive")
     moved = float("inf")
     it = 0
+    prepared = step_input(points)
     while it < max_iterations:
         it += 1
-        means = {r["cluster"]: (int(r["x"]), int(r["y"])) for r in step_means(points, current).collect()}
+        means = {r["cluster"]: (int(r["x"]), int(r["y"]))
+                 for r in step_means(points, current, prepared).collect()}
         nxt = [means.get(i, c) for i, c in enumerate(current)]
         moved = movement(current, nxt)
         current = nxt
