@@ -15,6 +15,7 @@ import argparse
 import sys
 
 from pyspark.sql import SparkSession
+from pyspark.sql import functions as F
 
 from termcluster.operators import clustering, mentions
 from termcluster.operators.report import print_report
@@ -32,7 +33,9 @@ def rank(spark: SparkSession, path: str, terms, head: int = article_src.HEAD,
          tail: int = article_src.TAIL, out=print) -> dict[str, list[tuple[str, int]]]:
     """The three rankings of ``terms`` over an article dump."""
     lines = article_src.read_article_lines(spark, path)
-    articles = article_src.parse_articles(lines, head=head, tail=tail).withColumnRenamed("title", "doc_id")
+    # Titles are text; the index blocks integral ids, so number the articles.
+    articles = (article_src.parse_articles(lines, head=head, tail=tail)
+                .withColumn("doc_id", F.monotonically_increasing_id()))
     result = {
         "separate counts": _ranking(mentions.rank_terms_all(articles, terms)),
         "inverted index": _ranking(mentions.rank_terms_from_index(

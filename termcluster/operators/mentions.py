@@ -97,6 +97,10 @@ def term_index(articles: DataFrame, terms, id_col: str = "doc_id", text: str = "
     grouping key (term, block) spreads a frequent term over many tasks."""
     if block <= 0:
         raise ValueError("block size must be positive")
+    id_type = articles.schema[id_col].dataType.typeName()
+    if id_type not in ("long", "integer", "short", "byte"):
+        raise ValueError(f"the index blocks integral ids; {id_col!r} is {id_type} "
+                         "(number the articles, e.g. with monotonically_increasing_id)")
     pairs = article_term_pairs(articles, terms, id_col, text)
     return (pairs.groupBy("term", F.expr(f"`{id_col}` div {int(block)}").alias("block"))
             .agg(F.array_sort(F.collect_list(id_col)).alias("docs"))
