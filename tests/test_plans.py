@@ -108,7 +108,8 @@ def test_kmeans_step_shape(spark):
     from termcluster.plans.catalog import POSTING_PARAMS
     from termcluster.sources import tables
     run = prepare(tables.postings(spark, SF), POSTING_PARAMS)
-    assert run.points.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    n = run.points.count()
+    assert run.points.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, max(1, -(-n // km.POINTS_PER_TASK)))
     step = km.step_means(run.points, run.initial)
     p = plan(step)
     assert "Coalesce 1" in p and "partial_sum" in p and "InMemoryTableScan" in p
