@@ -15,7 +15,8 @@ Execution plan:
   (stratum, score) pairs, not by the number of questions.
 * The weighted points are written to the shared checkpoint folder, so
   every step starts from stable storage (a lost executor re-reads the
-  checkpoint instead of recomputing the scan and the join).
+  checkpoint instead of recomputing the scan and the join), spread over
+  ``ceil(count / POINTS_PER_TASK)`` partitions, at most one per core.
 * Centres enter each step as one literal array
   (``functions.geometry.with_nearest_centre``), so the plan of a step
   does not grow across iterations and its code does not change when the
