@@ -1,0 +1,43 @@
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from tests.llm.brute import corpus, frame, repeats
+from termcluster.llm.rlz_dedup import greedy_factors, substring_dedup
+
+
+def result(df):
+    return sorted(((r.id, r.n_words, r.n_removed, r.kept_sha256) for r in df.collect()), key=str)
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_equals_brute_force(spark, seed):
+    rows = corpus(seed) + [(5, "again with the id five " * 30), (None, corpus(seed)[7][1]), (3, corpus(seed)[3][1])]
+    assert result(substring_dedup(frame(spark, rows), window=12, gram=5)) == repeats(rows, 12)
+
+
+def test_production_parameters_texts_and_factors(spark):
+    rows = corpus(3, n=40, longest=300)
+    got = substring_dedup(frame(spark, rows), keep_row=True)
+    assert result(got) == repeats(rows)
+    texts = dict(rows)
+    for r in got.collect():
+        assert r.row.doc_id == r.id and r.row.text == texts[r.id]
+        assert (r.kept_text is None) == (r.n_removed == 0)
+        assert sum(f.length for f in r.factors) == r.n_removed
+        assert all(f.ref < r.id for f in r.factors)
+
+
+def test_empty_table_and_clashing_names(spark):
+    empty = frame(spark, []).withColumn("n_words", F.lit(1)).withColumn("id", F.lit(None))
+    assert substring_dedup(empty, keep_row=True).collect() == []
+
+
+def test_one_passage_in_every_document(spark):
+    rows = [(i, f"a{i} " + " ".join(f"p{k}" for k in range(60)) + f" b{i} c{i}") for i in range(80)]
+    assert result(substring_dedup(frame(spark, rows, 8))) == repeats(rows)
+
+
+def test_greedy_factors():
+    got = greedy_factors(*map(np.array, ([0, 3, 5, 30], [10, 12, 25, 40], [1, 2, 2, 1])))
+    assert got == [{"start": 0, "length": 10, "ref": 1}, {"start": 10, "length": 15, "ref": 2}, {"start": 30, "length": 10, "ref": 1}]
