@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termcluster.llm import oracle
+from termcluster.llm.mgo_join import jaccard_components
 from termcluster.llm.rlz_dedup import substring_dedup
 from termcluster.llm.shared import import_in_workers
 
@@ -17,15 +18,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_mgo_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op2_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
 QUERIES = {
+    "op1_mgo_jaccard_join": op1_mgo_jaccard_join,
     "op2_rlz_substring_dedup": op2_rlz_substring_dedup,
 }
 
 ORACLE = {
+    "op1_mgo_jaccard_join": oracle.JACCARD_COMPONENTS,
     "op2_rlz_substring_dedup": oracle.SUBSTRING_DEDUP,
 }

@@ -20,3 +20,23 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_removed, 0)::BIGINT AS n
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id)
 """
+
+JACCARD_COMPONENTS = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\x20\x09-\x0D]+') AS ws FROM documents),
+sh AS (
+  SELECT DISTINCT doc_id, array_to_string(ws[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, ws, unnest(range(1, CASE WHEN len(ws) = 0 THEN 1 ELSE greatest(len(ws) - 4, 1) + 1 END)) AS i FROM w)),
+sizes AS (SELECT doc_id, count(*) AS n FROM sh GROUP BY doc_id),
+links AS (
+  SELECT x, y FROM (
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM sh a JOIN sh b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY ALL)
+  JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y WHERE 100 * c >= 75 * (p.n + q.n - c)),
+reach AS (
+  SELECT doc_id, doc_id AS r FROM w
+  UNION
+  SELECT reach.doc_id, links.y FROM reach JOIN links ON reach.r = links.x)
+SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(r) AS component_id
+FROM reach LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+"""
