@@ -10,18 +10,20 @@ n - ceil(n*num/den) + 1 of both, under *every* total order of the tokens.
    prefixes are posted by token. Every posting meets up to three hubs (the
    smallest ids of its token). A token posted by more rows than one task should
    read is spread over parts, whose hubs meet in a second step.
+   A pair must fit by size, and by place: with p and q tokens before the first
+   common one, the overlap is at most min(n - p, m - q).
 3. A candidate must also share prefix tokens under two more, independent
    orders; what passes the intersected filters is verified on whole sets.
 4. Links give components. Tokens whose postings lie in different components
-   then give all pairs across components (never within one), which are
-   filtered and verified in the same way. So no link between different
+   then give all pairs across components (never within one) that fit,
+   which are filtered and verified in the same way. So no link between different
    components is lost, while a group of n near copies costs about 3n pairs.
 
 Step 4 can in the worst case list all pairs of documents that consist almost
 wholly of one passage and yet do not link; prefixes of rare tokens make that
 case rare, and no cap is applied.
 
-Scale: postings are 16 bytes for a quarter of the words, shuffled once; texts
+Scale: postings are 28 bytes for a quarter of the words, shuffled once; texts
 of documents in candidate pairs are shuffled compressed. The sketch (4 MB) and
 the list of classes with over a thousandth of all documents (at most a
 thousand) are the only broadcast data.
@@ -126,7 +128,10 @@ def add_sketches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def posting_rows(n: int, num: int, den: int, rows_per_part: int, sketch, large):
-    """Prefix tokens under the first order: token, part (0: not spread), id."""
+    """Prefix tokens under the first order: token, part (0: not spread), id,
+    and fit: the set's size n and, in the low half, the largest size of a
+    partner for which this may be the first common token. With p tokens before
+    it the overlap is at most n - p."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts, copies = sketch.value, large.value
         common = 2 * int(np.median(counts)) + rows_per_part
@@ -137,55 +142,67 @@ def posting_rows(n: int, num: int, den: int, rows_per_part: int, sketch, large):
                 seen = counts[bucket(token)]
                 key = np.minimum(seen, (1 << 24) - 1).astype(U) << U(40) | mix(token) >> U(24)
                 at, doc = first_tokens(token, bounds, key, num, den)
+                size = np.diff(bounds)
+                place = runs(np.zeros(len(size), np.int64), prefix_lengths(size, num, den))
+                fit = size[doc] << 32 | np.maximum((size[doc] - place) * (num + den) // num - size[doc], 0)
                 if copies:
                     s1, s2 = signatures(token, bounds)
                     skip = np.array([copies.get((int(x), int(y)), i) != i for x, y, i in zip(s1, s2, ids[texts.first:], strict=False)], bool)
-                    at, doc = at[~skip[doc]], doc[~skip[doc]]
+                    stay = ~skip[doc]
+                    at, doc, fit = at[stay], doc[stay], fit[stay]
                 own = ids[texts.first + doc]
                 parts = np.where(seen[at] > common, seen[at] // rows_per_part + 1, 0)
                 part = np.where(parts > 0, mix(own.astype(U)) % np.maximum(parts, 1).astype(U) + U(1), U(0)).astype(np.int32)
-                yield batch(token=token[at], part=part, id=own)
+                yield batch(token=token[at], part=part, id=own, fit=fit)
     return rows
 
 
-def meet_hubs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by (token, part, id): every posting with the hubs before
-    it. A posting that is alone goes, unless its token is spread over parts."""
-    head = np.zeros((0, 3), np.int64)  # first rows of the last group so far
-    told = np.zeros(0, bool)  # which of them were given out
-
-    def out(rows, given, last_open):
-        new = np.ones(len(rows), bool)
-        new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
-        first = np.flatnonzero(new)[np.cumsum(new) - 1]
-        size = np.diff(np.append(np.flatnonzero(new), len(rows)))[np.cumsum(new) - 1]
-        place = np.arange(len(rows)) - first
-        give = (size > 1) | (rows[:, 1] > 0)
-        start = first[-1]
-        if last_open and size[-1] == 1:
-            give[start] = False
-        result = give & ~given
-        hubs = {}
-        for k in range(HUBS):
-            missing = place <= k
-            hubs[f"h{k + 1}"] = pa.array(rows[np.minimum(first + k, len(rows) - 1), 2][result], mask=missing[result])
-        got = batch(token=rows[result, 0], part=rows[result, 1].astype(np.int32), id=rows[result, 2], **hubs)
-        return got, rows[start:start + HUBS], (give | given)[start:start + HUBS]
+def meet_hubs(num: int, den: int):
+    """Rows sorted by (token, part, id): every posting, its place among those
+    of its token (up to HUBS), and the hubs before it that sizes and places
+    allow. A posting that is alone goes, unless its token is spread."""
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head = np.zeros((0, 4), np.int64)  # first rows of the last group so far
+        told = np.zeros(0, bool)  # which of them were given out
+
+        def out(rows, given, last_open):
+            new = np.ones(len(rows), bool)
+            new[1:] = (rows[1:, :2] != rows[:-1, :2]).any(1)
+            group = np.cumsum(new) - 1
+            first = np.flatnonzero(new)[group]
+            size = np.diff(np.append(np.flatnonzero(new), len(rows)))[group]
+            place = np.arange(len(rows)) - first
+            give = (size > 1) | (rows[:, 1] > 0)
+            start = first[-1]
+            if last_open and size[-1] == 1:
+                give[start] = False
+            result = give & ~given
+            n, top = rows[:, 3] >> 32, rows[:, 3] & ((1 << 32) - 1)
+            hubs = {}
+            for k in range(HUBS):
+                h = np.minimum(first + k, len(rows) - 1)
+                no = (place <= k) | (n > top[h]) | (n[h] > top) | (den * np.minimum(n, n[h]) < num * np.maximum(n, n[h]))
+                hubs[f"h{k + 1}"] = pa.array(rows[h, 2][result], mask=no[result])
+            got = batch(token=rows[result, 0], part=rows[result, 1].astype(np.int32), id=rows[result, 2], fit=rows[result, 3],
+                        place=np.minimum(place, HUBS)[result].astype(np.int32), **hubs)
+            return got, rows[start:start + HUBS], (give | given)[start:start + HUBS]
 
-    for b in batches:
-        if b.num_rows:
-            rows = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("token", "part", "id")], 1)
-            got, head, told = out(np.concatenate([head, rows]), np.append(told, np.zeros(len(rows), bool)), True)
-            yield got
-    if len(head):
-        yield out(head, told, False)[0]
+        for b in batches:
+            if b.num_rows:
+                new = np.stack([b.column(c).to_numpy().astype(np.int64) for c in ("token", "part", "id", "fit")], 1)
+                got, head, told = out(np.concatenate([head, new]), np.append(told, np.zeros(len(new), bool)), True)
+                yield got
+        if len(head):
+            yield out(head, told, False)[0]
+    return rows
 
 
-MET = "token long, part int, id long, h1 long, h2 long, h3 long"
+POSTING = "token long, part int, id long, fit long"
+MET = POSTING + ", place int, h1 long, h2 long, h3 long"
 
 
-def with_hubs(postings: DataFrame) -> DataFrame:
-    return postings.repartition("token", "part").sortWithinPartitions("token", "part", "id").mapInArrow(meet_hubs, MET)
+def with_hubs(postings: DataFrame, num: int, den: int) -> DataFrame:
+    return postings.repartition("token", "part").sortWithinPartitions("token", "part", "id").mapInArrow(meet_hubs(num, den), MET)
 
 
 def hub_pairs(met: DataFrame) -> DataFrame:
@@ -236,7 +253,8 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     doc = sets.filter("part is null").select("id", "n", "s1", "s2")
     real = doc.filter("n > 0 and id is not null")
     classes = scratch(real.groupBy("s1", "s2", "n").agg(F.min("id").alias("rep"), F.count("*").alias("size")), "classes")
-    member = scratch(real.join(classes, ["s1", "s2", "n"]).select("id", "rep", "n"), "members")
+
+    member = scratch(real.join(classes, ["s1", "s2", "n"]).select("id", "rep"), "members")
 
     sketch = np.zeros((SKETCH_PARTS, (1 << SKETCH_BITS) // SKETCH_PARTS), np.int64)
     summed = sets.filter("part is not null").select("part", "counts").repartition("part").mapInArrow(add_sketches, "part int, counts binary")
@@ -249,36 +267,35 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     args = sc.broadcast(sketch.reshape(-1)), sc.broadcast({(r.s1 & bits, r.s2 & bits): r.rep for r in large})
 
     given = base.filter("id is not null")
-    met = scratch(with_hubs(given.mapInArrow(posting_rows(n, num, den, rows_per_part, *args), "token long, part int, id long")), "met")
-    heads = met.filter("part > 0").select("token", F.lit(0).alias("part"), F.explode(F.array(F.coalesce("h1", "id"), "h2", "h3")).alias("id")).filter("id is not null").distinct()
+    met = scratch(with_hubs(given.mapInArrow(posting_rows(n, num, den, rows_per_part, *args), POSTING), num, den), "met")
+    heads = met.filter(f"part > 0 and place < {HUBS}").select("token", F.lit(0).alias("part"), "id", "fit")
     packed = given.mapInArrow(compressed, "id long, txt binary")
 
-    def of_classes(pairs: DataFrame) -> DataFrame:
-        """Pairs of class representatives whose sizes allow a link."""
-        for side in ("a", "b"):
-            pairs = pairs.join(member.select(F.col("id").alias(side), F.col("rep").alias(f"{side}_rep"), F.col("n").alias(f"{side}_n")), side)
-        fits = pairs.filter(f"a_rep <> b_rep and {den} * least(a_n, b_n) >= {num} * greatest(a_n, b_n)")
-        return fits.select(F.greatest("a_rep", "b_rep").alias("a"), F.least("a_rep", "b_rep").alias("b")).distinct()
-
     def verified(pairs: DataFrame) -> DataFrame:
         one = pairs.join(packed.select(F.col("id").alias("a"), F.col("txt").alias("a_txt")), "a")
         two = one.join(packed.select(F.col("id").alias("b"), F.col("txt").alias("b_txt")), "b")
         return two.mapInArrow(verify_rows(n, num, den), "a long, b long")
 
-    near = scratch(of_classes(hub_pairs(met).union(hub_pairs(with_hubs(heads))).distinct()), "pairs")
+    near = hub_pairs(met).union(hub_pairs(with_hubs(heads, num, den))).distinct()
+    for side in ("a", "b"):
+        near = near.join(member.select(F.col("id").alias(side), F.col("rep").alias(f"{side}_rep")), side)
+    near = scratch(near.filter("a_rep <> b_rep").select(F.greatest("a_rep", "b_rep").alias("a"), F.least("a_rep", "b_rep").alias("b")).distinct(), "pairs")
     links = scratch(verified(near), "links")
     label = scratch(components(links), "labels")
 
     # pairs across the components so far, for tokens with more postings than hubs cover
     wide = met.groupBy("token").agg(F.count("*").alias("k")).filter(F.col("k") > HUBS + 1).select("token")
-    posted = (met.select("token", "id").join(wide, "token").join(member.select("id", "rep"), "id").select("token", F.col("rep").alias("node")).distinct()
-              .join(label, "node", "left").select("token", "node", F.coalesce("label", "node").alias("comp")))
+    posted = (met.select("token", "id", F.shiftright("fit", 32).alias("n"), F.col("fit").bitwiseAND((1 << 32) - 1).alias("top")).join(wide, "token")
+              .join(member.select("id", F.col("rep").alias("node")), "id").select("token", "node", "n", "top").distinct()
+              .join(label, "node", "left").select("token", "node", "n", "top", F.coalesce("label", "node").alias("comp")))
     posted = scratch(posted, "posted")
-    groups = posted.select("token", "comp").distinct()
-    across = groups.toDF("token", "c1").join(groups.toDF("token", "c2"), "token").filter("c1 < c2")
-    across = across.join(posted.toDF("token", "a", "c1"), ["token", "c1"]).join(posted.toDF("token", "b", "c2"), ["token", "c2"]).select("a", "b").distinct()
-    untested = of_classes(across).join(near, ["a", "b"], "left_anti")
-    rest = scratch(verified(scratch(untested, "across")), "rest")
+    groups = posted.groupBy("token", "comp").agg(F.min("n").alias("n"), F.max("top").alias("top"))
+    meet = groups.toDF("token", "c1", "x_n", "x_top").join(groups.toDF("token", "c2", "y_n", "y_top"), "token").filter("c1 < c2 and x_n <= y_top and y_n <= x_top")
+    sides = [posted.select("token", F.col("comp").alias(c), F.col("node").alias(x), F.col("n").alias(f"{x}_n"), F.col("top").alias(f"{x}_top")) for c, x in (("c1", "a"), ("c2", "b"))]
+    across = meet.select("token", "c1", "c2", "y_n").join(sides[0], ["token", "c1"]).filter("a_top >= y_n").join(sides[1], ["token", "c2"])
+    across = across.filter(f"a_n <= b_top and b_n <= a_top and {den} * least(a_n, b_n) >= {num} * greatest(a_n, b_n)")
+    across = across.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    rest = scratch(verified(scratch(across.join(near, ["a", "b"], "left_anti"), "across")), "rest")
     label = scratch(components(links.union(rest)), "labels")
 
     known = member.join(label, F.col("rep") == F.col("node"), "left").groupBy("id").agg(F.min(F.coalesce("label", "rep")).alias("component_id"))
