@@ -11,6 +11,7 @@ from termcluster.llm import oracle
 from termcluster.llm.mgo_join import jaccard_components
 from termcluster.llm.rlz_dedup import substring_dedup
 from termcluster.llm.shared import import_in_workers
+from termcluster.llm.suffix_decontamination import decontaminate, items_digest
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,12 +28,20 @@ def op2_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                        items_digest(F.col("items")).alias("items_sha256"), "contaminated")
+
+
 QUERIES = {
     "op1_mgo_jaccard_join": op1_mgo_jaccard_join,
     "op2_rlz_substring_dedup": op2_rlz_substring_dedup,
+    "op8_suffix_decontamination": op8_suffix_decontamination,
 }
 
 ORACLE = {
     "op1_mgo_jaccard_join": oracle.JACCARD_COMPONENTS,
     "op2_rlz_substring_dedup": oracle.SUBSTRING_DEDUP,
+    "op8_suffix_decontamination": oracle.DECONTAMINATION,
 }

@@ -121,7 +121,8 @@ def contamination(rows, items, size=13):
                 if got := windows.get(tuple(w[k:k + n])):
                     found |= got
                     hit.update(range(k, k + n))
-        ids = ",".join(sorted(str(x) for x in found if x is not None))
+        found.discard(None)
+        ids = ",".join(sorted(map(str, found)))
         out.append((i, len(w), len(hit), len(found), hashlib.sha256(ids.encode()).hexdigest(), bool(hit) and 20 * len(hit) >= len(w)))
     return sorted(out, key=str)
 
