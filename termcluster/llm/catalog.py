@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from termcluster.llm import oracle
+from termcluster.llm.bpe_rounds import bpe_round_trip
 from termcluster.llm.mgo_join import jaccard_components
 from termcluster.llm.rlz_dedup import substring_dedup
 from termcluster.llm.shared import import_in_workers
@@ -34,10 +35,21 @@ def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                         items_digest(F.col("items")).alias("items_sha256"), "contaminated")
 
 
+def tokenizer_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op10_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False).withColumnRenamed("id", "doc_id")
+
+
 QUERIES = {
     "op1_mgo_jaccard_join": op1_mgo_jaccard_join,
     "op2_rlz_substring_dedup": op2_rlz_substring_dedup,
     "op8_suffix_decontamination": op8_suffix_decontamination,
+    "op10_bpe_merge_rounds": op10_bpe_merge_rounds,
 }
 
 ORACLE = {
