@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from termcluster.llm import oracle
 from termcluster.llm.bpe_rounds import bpe_round_trip
+from termcluster.llm.mcd_quality import quality_rules
 from termcluster.llm.mgo_join import jaccard_components
 from termcluster.llm.rlz_dedup import substring_dedup
 from termcluster.llm.shared import import_in_workers
@@ -29,6 +30,11 @@ def op2_rlz_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
 
+def op3_mcd_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = quality_rules(table(spark, sf_dir, "documents"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -48,6 +54,7 @@ def op10_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mgo_jaccard_join": op1_mgo_jaccard_join,
     "op2_rlz_substring_dedup": op2_rlz_substring_dedup,
+    "op3_mcd_quality_rules": op3_mcd_quality_rules,
     "op8_suffix_decontamination": op8_suffix_decontamination,
     "op10_bpe_merge_rounds": op10_bpe_merge_rounds,
 }
