@@ -11,7 +11,8 @@ each in units of a spread below which differences don't matter (``UNITS``). For
 every (language, source) the minimum covariance determinant gives their centre
 and scatter: starting from two estimates (all rows; all rows, unit scatter), each
 step takes the share ``CORE`` of the rows with the smallest Mahalanobis distances
-and estimates anew, until nothing changes; the smaller determinant wins. One
+and estimates anew, until nothing changes or ``STEPS`` are done; the smaller
+determinant wins. One
 unit of variance is added, so that constant statistics do no harm. A document
 whose squared distance exceeds ``LIMIT`` is rejected.
 
@@ -46,7 +47,7 @@ CONSISTENT = 1.486
 LIMIT = 23.51
 GRID = 1024
 BINS, BINS_PER_DOUBLING = 1024, 32
-STEPS = 30
+STEPS = 8
 Z = ("z1", "z2", "z3", "z4")
 PAIRS = [(i, j) for i in range(4) for j in range(i + 1)]
 
