@@ -13,6 +13,7 @@ from termcluster.llm.mcd_quality import quality_rules
 from termcluster.llm.mgo_join import jaccard_components
 from termcluster.llm.rlz_dedup import substring_dedup
 from termcluster.llm.shared import import_in_workers
+from termcluster.llm.streamvbyte_output import token_id_round_trip
 from termcluster.llm.suffix_decontamination import decontaminate, items_digest
 
 
@@ -35,6 +36,10 @@ def op3_mcd_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op5_streamvbyte_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_id_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
+
+
 def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -55,6 +60,7 @@ QUERIES = {
     "op1_mgo_jaccard_join": op1_mgo_jaccard_join,
     "op2_rlz_substring_dedup": op2_rlz_substring_dedup,
     "op3_mcd_quality_rules": op3_mcd_quality_rules,
+    "op5_streamvbyte_token_ids": op5_streamvbyte_token_ids,
     "op8_suffix_decontamination": op8_suffix_decontamination,
     "op10_bpe_merge_rounds": op10_bpe_merge_rounds,
 }
