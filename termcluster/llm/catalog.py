@@ -15,6 +15,7 @@ from termcluster.llm.rlz_dedup import substring_dedup
 from termcluster.llm.shared import import_in_workers
 from termcluster.llm.streamvbyte_output import token_id_round_trip
 from termcluster.llm.suffix_decontamination import decontaminate, items_digest
+from termcluster.llm.zstd_quality import fit, held_out, score
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -52,6 +53,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op9_zstd_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = score(docs, fit(docs, table(spark, sf_dir, "labels"), label_col="quality"))
+    return scored.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score", "predicted")
+
+
 def op10_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False).withColumnRenamed("id", "doc_id")
 
@@ -62,6 +69,7 @@ QUERIES = {
     "op3_mcd_quality_rules": op3_mcd_quality_rules,
     "op5_streamvbyte_token_ids": op5_streamvbyte_token_ids,
     "op8_suffix_decontamination": op8_suffix_decontamination,
+    "op9_zstd_quality_classifier": op9_zstd_quality_classifier,
     "op10_bpe_merge_rounds": op10_bpe_merge_rounds,
 }
 
