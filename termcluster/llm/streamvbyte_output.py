@@ -18,10 +18,9 @@ them, so ids lie in the file order of their documents. Decoding looks up the
 lengths, offsets and byte places of four ranks at a time in numpy tables of 256
 rows.
 
-Encoding works on pieces between ASCII white space: the tokenizer splits and
-normalises those independently (checked when it is loaded, else whole texts are
-encoded), so each distinct piece is given to the library once per task and
-cache.
+Encoding works on pieces between ASCII white space, which the tokenizer splits
+and normalises independently (checked when it is loaded, else whole texts are
+encoded), so each distinct piece or word goes to the library once per cache.
 
 Scale: texts are range-partitioned and sorted by doc_id once; everything after
 that stays in place. Frequencies and shard sizes are aggregated; what reaches
@@ -38,9 +37,11 @@ import uuid
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -49,63 +50,115 @@ from termcluster.llm.textarrays import runs, text_slices
 
 END_ID = 2
 BLOCK_IDS = 1 << 18
-CACHE = 400_000
+CACHE = 800_000
+
+
+class Store:
+    """Ids of the strings met so far: one flat array, and a place for each."""
+
+    def __init__(self):
+        self.place: dict = {}
+        self.bounds = np.zeros(1, np.int64)
+        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
+
+    def add(self, keys: list, ids: np.ndarray, ends: np.ndarray) -> None:
+        """ends: where the ids of each key end in ids."""
+        while self.used + len(ids) > len(self.ids):
+            self.ids = np.append(self.ids, np.zeros(len(self.ids), np.int32))
+        self.ids[self.used:self.used + len(ids)] = ids
+        first = len(self.place)
+        self.place.update(zip(keys, range(first, first + len(keys)), strict=True))
+        self.bounds = np.append(self.bounds, self.used + ends)
+        self.used += len(ids)
+
+    def gather(self, lists: list[list]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of lists of known keys, and the end of each list's ids."""
+        count = np.cumsum([len(x) for x in lists], dtype=np.int64)
+        flat = np.fromiter(map(self.place.__getitem__, chain.from_iterable(lists)), np.int64, int(count[-1]) if len(count) else 0)
+        size = self.bounds[flat + 1] - self.bounds[flat]
+        return self.ids[runs(self.bounds[flat], size)], np.append(0, np.cumsum(size))[count]
 
 
 class PieceEncoder:
-    """Ids of texts by the tokenizers library, piece by piece, with a cache."""
+    """Ids of texts by the tokenizers library, with a cache.
+
+    A text is cut at ASCII white space. All new pieces of a slice go to the
+    library as one text; the offsets that it reports give the ids of each.
+    ASCII pieces are first cut into words by the tokenizer's own pattern, and
+    only new words go to the library: the end-of-word mark, which every word's
+    last token has, tells them apart. A text with the start of an added token is encoded whole."""
 
-    PROBE = ["Ab cd", "áb ́c", "It's  1st\n#2", "ΣΣ Σ", "x\ty\x0bz\x0cq\rw"]
+    PROBE = ["Ab cd", "áb ́c", "It's  1st\n#2..", "ΣΣ Σ", "x\ty\x0bz\x0cq\rw", "I'LL don't've 12"]
 
     def __init__(self, path: str):
+        import json
+
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        whole = self.library(self.PROBE)
-        pieces = [sum(self.library(t.split()), []) for t in self.PROBE]
-        self.by_piece = whole == pieces
-        self.clear()
+        with open(path, encoding="utf-8") as f:
+            spec = json.load(f)
+        suffix = spec["model"].get("end_of_word_suffix") or "\0"
+        vocab = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends_word = np.zeros(self.tokenizer.get_vocab_size() + 1, bool)
+        self.ends_word[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.added = [t["content"][:2].encode() for t in spec.get("added_tokens", [])]
+        pattern = [p["pattern"]["Regex"] for p in (spec.get("pre_tokenizer") or {}).get("pretokenizers", []) if p["type"] == "Split"]
+        self.words = regex.compile(pattern[0]).findall if pattern else None
+        self.pieces, self.known = Store(), Store()
+        self.cached = self.words is not None and all(self.by_piece([t.encode()])[0].tolist() == self.library([t])[0] for t in self.PROBE)
 
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def clear(self) -> None:
-        self.place: dict[bytes, int] = {}
-        self.bounds = np.zeros(1, np.int64)
-        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
-
-    def add(self, pieces: list[bytes]) -> None:
-        got = self.library([p.decode() for p in pieces])
-        size = np.array([len(x) for x in got], np.int64)
-        total = int(size.sum())
-        while self.used + total > len(self.ids):
-            self.ids = np.append(self.ids, np.zeros(len(self.ids), np.int32))
-        self.ids[self.used:self.used + total] = np.fromiter((i for x in got for i in x), np.int32, total)
-        first = len(self.place)
-        self.place.update(zip(pieces, range(first, first + len(pieces)), strict=True))
-        self.bounds = np.append(self.bounds, self.used + np.cumsum(size))
-        self.used += total
+    def add_ascii(self, pieces: list[bytes]) -> None:
+        split = [self.words(p.decode()) for p in pieces]
+        new = list(set(chain.from_iterable(split)).difference(self.known.place))
+        if new:
+            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, np.int32)
+            self.known.add(new, ids, np.flatnonzero(self.ends_word[ids]) + 1)
+        self.pieces.add(pieces, *self.known.gather(split))
+
+    def add_other(self, pieces: list[bytes]) -> None:
+        texts = [p.decode() for p in pieces]
+        got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
+        ends = np.cumsum([len(t) + 1 for t in texts])
+        first = np.array([a for a, _ in got.offsets], np.int64)
+        self.pieces.add(pieces, np.array(got.ids, np.int32), np.searchsorted(first, ends))
+
+    def by_piece(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids and their end for each text; ASCII letters are lowered here
+        already, as the tokenizer would do."""
+        if len(self.pieces.place) > CACHE:
+            self.pieces = Store()
+        if len(self.known.place) > CACHE:
+            self.known = Store()
+        split = [t.lower().split() for t in texts]
+        new = list(set(chain.from_iterable(split)).difference(self.pieces.place))
+        ascii_, other = [p for p in new if p.isascii()], [p for p in new if not p.isascii()]
+        if ascii_:
+            self.add_ascii(ascii_)
+        if other:
+            self.add_other(other)
+        return self.pieces.gather(split)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and the bounds of each."""
         raw = data.tobytes()
-        ends = offsets.tolist()
-        texts = [raw[a:b] for a, b in zip(ends, ends[1:], strict=False)]
-        if not self.by_piece:
-            got = self.library([t.decode() for t in texts])
-            return np.array([i for x in got for i in x], np.int32), np.append(0, np.cumsum([len(x) for x in got]))
-        if len(self.place) > CACHE:
-            self.clear()
-        split = [t.split() for t in texts]
-        new = list({p for pieces in split for p in pieces}.difference(self.place))
-        if new:
-            self.add(new)
-        flat = np.fromiter((k for pieces in split for k in map(self.place.__getitem__, pieces)), np.int64)
-        size = self.bounds[flat + 1] - self.bounds[flat]
-        count = np.append(0, np.cumsum([len(p) for p in split]))
-        return self.ids[runs(self.bounds[flat], size)], np.append(0, np.cumsum(size))[count]
+        at = offsets.tolist()
+        texts = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+        whole = [k for k, t in enumerate(texts) if not self.cached or any(x in t for x in self.added)]
+        if not whole:
+            ids, ends = self.by_piece(texts)
+            return ids, np.append(0, ends)
+        kept = set(whole)
+        ids, ends = self.by_piece([b"" if k in kept else t for k, t in enumerate(texts)]) if len(kept) < len(texts) else (np.zeros(0, np.int32), np.zeros(len(texts), np.int64))
+        parts = np.split(ids, ends[:-1])
+        for k, x in zip(whole, self.library([texts[k].decode() for k in whole]), strict=True):
+            parts[k] = np.array(x, np.int32)
+        return np.concatenate(parts).astype(np.int32), np.append(0, np.cumsum([len(x) for x in parts]))
 
 
 @lru_cache(maxsize=2)

@@ -40,7 +40,7 @@ def test_coding_round_trip(n):
 
 def test_pieces_equal_whole_texts():
     encoder, encode = PieceEncoder(PATH), library()
-    assert encoder.by_piece
+    assert encoder.cached
     texts = odd_texts(7) + ["<|startoftext|>Ab <|endoftext|>", "ΑΣ ΣΑΣ. İ ǅ", "é ́e", "a b\x85c d"]
     raw = [t.encode() for t in texts]
     ids, bounds = encoder.encode(np.frombuffer(b"".join(raw), np.uint8), np.append(0, np.cumsum([len(x) for x in raw])))
