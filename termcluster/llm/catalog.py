@@ -7,7 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from termcluster.llm import oracle
+from termcluster.llm import chain_toxicity, oracle, zstd_quality
 from termcluster.llm.bpe_rounds import bpe_round_trip
 from termcluster.llm.mcd_quality import quality_rules
 from termcluster.llm.mgo_join import jaccard_components
@@ -15,7 +15,7 @@ from termcluster.llm.rlz_dedup import substring_dedup
 from termcluster.llm.shared import import_in_workers
 from termcluster.llm.streamvbyte_output import token_id_round_trip
 from termcluster.llm.suffix_decontamination import decontaminate, items_digest
-from termcluster.llm.zstd_quality import fit, held_out, score
+from termcluster.llm.training_sample import held_out
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -41,6 +41,13 @@ def op5_streamvbyte_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_id_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op7_chain_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = chain_toxicity.score(docs, chain_toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    probabilities = (F.col(c).alias(f"p_{c}") for c in chain_toxicity.CATEGORIES)
+    return scored.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), *probabilities, (F.col("toxic") >= 0.5).cast("int").alias("toxic"))
+
+
 def op8_suffix_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
@@ -55,7 +62,7 @@ def tokenizer_path(name: str) -> str:
 
 def op9_zstd_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    scored = score(docs, fit(docs, table(spark, sf_dir, "labels"), label_col="quality"))
+    scored = zstd_quality.score(docs, zstd_quality.fit(docs, table(spark, sf_dir, "labels"), label_col="quality"))
     return scored.select(F.col("id").alias("doc_id"), held_out("id").alias("held_out"), "score", "predicted")
 
 
@@ -68,6 +75,7 @@ QUERIES = {
     "op2_rlz_substring_dedup": op2_rlz_substring_dedup,
     "op3_mcd_quality_rules": op3_mcd_quality_rules,
     "op5_streamvbyte_token_ids": op5_streamvbyte_token_ids,
+    "op7_chain_toxicity": op7_chain_toxicity,
     "op8_suffix_decontamination": op8_suffix_decontamination,
     "op9_zstd_quality_classifier": op9_zstd_quality_classifier,
     "op10_bpe_merge_rounds": op10_bpe_merge_rounds,

@@ -28,21 +28,17 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import zstandard
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from termcluster.llm.shared import batch, id_and_text
+from termcluster.llm.training_sample import labelled_sample
 
 PER_CLASS = 1500
 SAMPLE_BYTES = 24 << 20
 DICT_BYTES = 16 << 10
 LEVEL = 3
 PENALTY = 1e-2
-FOLDS, HELD_OUT = 3, 1
-
-
-def held_out(id_col: str) -> Column:
-    return F.pmod(F.crc32(F.col(id_col).cast("string").cast("binary")), F.lit(FOLDS)) == HELD_OUT
 
 
 def dictionary(texts: list[bytes]) -> bytes:
@@ -120,32 +116,9 @@ def train(good: list[bytes], bad: list[bytes], good_share: float) -> Model:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality", per_class: int = PER_CLASS) -> Model:
     """Model from the labelled documents outside the held-out fold."""
-    known = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).cast("int").alias("y")).filter("id is not null and y in (0, 1)")
-    known = known.filter(~held_out("id")).groupBy("id").agg(F.min("y").alias("y"))
-    counts = {r.y: r["count"] for r in known.groupBy("y").count().collect()}
-    drawn = None
-    for y in (0, 1):
-        some = known.filter(F.col("y") == y).orderBy(F.xxhash64("id"), "id").limit(per_class)
-        drawn = some if drawn is None else drawn.union(some)
-    drawn = drawn.collect()  # at most 2 * per_class ids
-    spark = docs.sparkSession
-    chosen = F.broadcast(spark.createDataFrame([(r.id, r.y) for r in drawn], "id long, y int"))
-    rows = id_and_text(docs, id_col, text_col).join(chosen, "id").filter("txt is not null")
-    rows = rows.withColumn("size", F.octet_length("txt")).dropDuplicates(["id", "txt"])
-    order = {r.id: k for k, r in enumerate(drawn)}
-    sizes = sorted(rows.select("id", "y", "size").collect(), key=lambda r: (order[r.id], r.size))
-    fits, total = set(), {0: 0, 1: 0}
-    for r in sizes:
-        if total[r.y] + r.size <= SAMPLE_BYTES:
-            total[r.y] += r.size
-            fits.add((r.id, r.size))
-    small = F.broadcast(spark.createDataFrame(sorted(fits), "id long, size int"))
-    texts: dict[int, list] = {0: [], 1: []}
-    for r in sorted(rows.join(small, ["id", "size"]).collect(), key=lambda r: (order[r.id], r.txt)):
-        texts[r.y].append(r.txt.encode())
-    n = sum(counts.values())
-    share = counts.get(1, 0) / n if n else 0.5
-    return train(texts[1], texts[0], share)
+    texts, share = labelled_sample(docs, labels, id_col, text_col, label_col, per_class, SAMPLE_BYTES)
+    bad, good = ([t.encode() for _, t in texts[y]] for y in (0, 1))
+    return train(good, bad, share)
 
 
 def score_rows(model):

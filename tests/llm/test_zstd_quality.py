@@ -4,7 +4,8 @@ import numpy as np
 from pyspark.sql import functions as F
 
 from tests.llm.brute import frame
-from termcluster.llm.zstd_quality import fit, held_out, score
+from termcluster.llm.training_sample import held_out
+from termcluster.llm.zstd_quality import fit, score
 
 LABELS = "doc_id long, quality int, toxic int"
 DATA = "/root/testdata/sf0.01"
