@@ -155,8 +155,10 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     groups = covariance_determinants(stats.filter("not base_failed"))
     if keep_row:  # statistics again, rather than a shuffle of all texts
         rows = docs.select(*columns, F.struct("*").alias("row"))
-        stats = text_statistics(rows, "txt").withColumn("base_failed", base_failed()).select("*", *vectors())
+        stats = text_statistics(rows, "txt").withColumn("base_failed", base_failed()).select("*", *vectors(), F.monotonically_increasing_id().alias("guard"))
     judged = stats.join(groups, same_group(), "left").withColumn("distance", F.when(~F.col("base_failed"), distance()))
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= LIMIT)
+    if keep_row:  # no filter on kept can be pushed below the row number, where it would repeat all statistics
+        kept = kept & (F.col("guard") >= 0)
     out = ["id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "distance"]
     return judged.select(*out, kept.alias("kept"), *(["row"] if keep_row else []))
