@@ -46,7 +46,7 @@ SAMPLE_BYTES = 24 << 20
 FEATURES = 2000
 FOLDS = 5
 STEPS, RATE, PENALTY = 150, 0.3, 1e-4
-MARKER_TEXTS, MARKER_RATIO = 5, 8.0
+MARKER_TEXTS, MARKER_RATIO, LEAST_GAIN = 5, 8.0, 7.0
 
 
 def hashed(column: pa.Array) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -77,7 +77,7 @@ def telling(hashes: list[np.ndarray], toxic: np.ndarray) -> np.ndarray:
     for seen, rows, base in ((with_1, with_all, n_1), (with_all - with_1, with_all, n - n_1), (n_1 - with_1, n - with_all, n_1), (n - n_1 - with_all + with_1, n - with_all, n - n_1)):
         expected = rows * base / n
         gain += np.where(seen > 0, seen * np.log(np.maximum(seen, 1e-9) / np.maximum(expected, 1e-9)), 0)
-    gain[with_all < MARKER_TEXTS] = 0
+    gain[(with_all < MARKER_TEXTS) | (gain < LEAST_GAIN)] = 0
     best = np.argsort(-gain, kind="stable")[:FEATURES]
     return np.sort(value[best[gain[best] > 0]])
 
