@@ -47,7 +47,9 @@ CONSISTENT = 1.486
 LIMIT = 23.51
 GRID = 1024
 BINS, BINS_PER_DOUBLING = 1024, 32
-STEPS = 8
+STEPS = 6
+#: Tasks that hold the estimates, a row per group and start.
+GROUP_TASKS = 16
 Z = ("z1", "z2", "z3", "z4")
 PAIRS = [(i, j) for i in range(4) for j in range(i + 1)]
 
@@ -129,7 +131,7 @@ def covariance_determinants(stats: DataFrame) -> DataFrame:
     names = ["k", *(f"s{i}" for i in range(4)), *(f"p{i}{j}" for i, j in PAIRS)]
     whole = stats.groupBy(F.col("lang").alias("glang"), F.col("source").alias("gsource")).agg(*moment_sums())
     whole = whole.withColumn("n", F.col("k")).withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
-    now = scratch(estimates(whole, F.col("start") == 1), "mcd")
+    now = scratch(estimates(whole, F.col("start") == 1).coalesce(GROUP_TASKS), "mcd")
     before = None
     for _ in range(STEPS):
         near = stats.join(now, same_group()).withColumn("bin", F.least(F.lit(BINS - 1), F.floor(BINS_PER_DOUBLING * F.log2(1 + distance()))).cast("int"))
@@ -137,13 +139,13 @@ def covariance_determinants(stats: DataFrame) -> DataFrame:
         nearer = F.sum("k").over(Window.partitionBy("glang", "gsource", "start").orderBy("bin")) - F.col("k")
         core = bins.withColumn("nearer", nearer).filter(F.col("nearer") < F.ceil(CORE * F.col("n")))
         core = core.groupBy("glang", "gsource", "start", "n").agg(*(F.sum(c).alias(c) for c in names))
-        now = scratch(estimates(core, F.lit(False)), "mcd")
+        now = scratch(estimates(core, F.lit(False)).coalesce(GROUP_TASKS), "mcd")
         state = now.agg(F.sum(F.xxhash64(*now.columns).cast("decimal(38,0)"))).first()[0]
         if state == before:
             break
         before = state
     best = now.groupBy("glang", "gsource").agg(F.min(F.struct("det", "start", *(c for c in now.columns if c not in ("glang", "gsource", "det", "start")))).alias("e"))
-    return scratch(best.select("glang", "gsource", "e.*").drop("start", "n", "det"), "mcd")
+    return scratch(best.select("glang", "gsource", "e.*").drop("start", "n", "det").coalesce(GROUP_TASKS), "mcd")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep_row: bool = False) -> DataFrame:
