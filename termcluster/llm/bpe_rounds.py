@@ -40,7 +40,7 @@ from termcluster.llm.textarrays import runs, text_slices
 # Fixed value: the pattern of byte-level BPE pre-tokens.
 PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LONG = 256
-CACHE = 400_000
+CACHE = 200_000
 NO_RANK = np.int64(1 << 60)
 
 
