@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from termcluster.llm import chain_toxicity, oracle, zstd_quality
 from termcluster.llm.bpe_rounds import bpe_round_trip
+from termcluster.llm.edit_counts import edited_counts, line_edits
 from termcluster.llm.mcd_quality import quality_rules
 from termcluster.llm.mgo_join import jaccard_components
 from termcluster.llm.rlz_dedup import substring_dedup
+from termcluster.llm.sais_dedup import byte_dedup
 from termcluster.llm.shared import import_in_workers
 from termcluster.llm.streamvbyte_output import token_id_round_trip
 from termcluster.llm.suffix_decontamination import decontaminate, items_digest
@@ -37,10 +39,21 @@ def op3_mcd_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("id").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op4_sais_byte_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return byte_dedup(table(spark, sf_dir, "documents"), with_text=False).withColumnRenamed("id", "doc_id")
+
+
 def op5_streamvbyte_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_id_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")).withColumnRenamed("id", "doc_id")
 
 
+def op6_edit_aware_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts before and after removing lines that repeat the line above."""
+    docs = table(spark, sf_dir, "documents")
+    found = edited_counts(docs, line_edits(F.col("text")), tokenizer_path("byte_bpe_50k.tiktoken"), with_tree=False)
+    return found.withColumnRenamed("id", "doc_id")
+
+
 def op7_chain_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     scored = chain_toxicity.score(docs, chain_toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -74,7 +87,9 @@ QUERIES = {
     "op1_mgo_jaccard_join": op1_mgo_jaccard_join,
     "op2_rlz_substring_dedup": op2_rlz_substring_dedup,
     "op3_mcd_quality_rules": op3_mcd_quality_rules,
+    "op4_sais_byte_dedup": op4_sais_byte_dedup,
     "op5_streamvbyte_token_ids": op5_streamvbyte_token_ids,
+    "op6_edit_aware_counts": op6_edit_aware_counts,
     "op7_chain_toxicity": op7_chain_toxicity,
     "op8_suffix_decontamination": op8_suffix_decontamination,
     "op9_zstd_quality_classifier": op9_zstd_quality_classifier,
