@@ -49,7 +49,7 @@ from termcluster.llm.textarrays import BASE_ONE, BYTE_VALUES, U, mix, prefix_sum
 
 LENGTH, GRAM = 400, 32
 BLOCKS_PER_SHARD = 4000
-SHARD_BYTES = 4 << 20
+SHARD_BYTES = 1 << 20
 NUMPY_BUCKETS = 6000
 
 
@@ -300,8 +300,14 @@ def shard_rows(length: int):
         bounds = np.append(0, np.cumsum([len(r[4]) for r in rows]))
         at = np.flatnonzero(repeated_starts(data, bounds, length))
         piece = np.searchsorted(bounds, at, "right") - 1
-        first = np.array([r[3] for r in rows], np.int64)
-        return batch(anchor=np.array([r[1] for r in rows], np.int64)[piece], content=np.array([r[2] for r in rows], np.int64)[piece], start=at - bounds[piece] + first[piece])
+        # strings that start at adjacent places of a piece make one span
+        new = np.ones(len(at), bool)
+        new[1:] = (np.diff(at) != 1) | (piece[1:] != piece[:-1])
+        head = np.flatnonzero(new)
+        tail = np.append(head[1:], len(at))[:len(head)] - 1
+        piece = piece[head]
+        base = np.array([r[3] for r in rows], np.int64)[piece] - bounds[piece]
+        return batch(anchor=np.array([r[1] for r in rows], np.int64)[piece], content=np.array([r[2] for r in rows], np.int64)[piece], start=at[head] + base, end=at[tail] + base + length)
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size, last = [], 0, None
@@ -368,10 +374,10 @@ def byte_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     packed = base.mapInArrow(compressed, "id long, txt binary, rid long")
     given = packed.filter("txt is not null").select("rid", "txt").join(chosen.hint("shuffle_hash"), "rid").dropDuplicates(["rid"])
     pieces = given.mapInArrow(piece_rows(length), "anchor long, content long, hot boolean, bytes binary").mapInArrow(split_rows(length), "key long, anchor long, content long, first int, bytes binary")
-    starts = pieces.repartition("key").sortWithinPartitions("key").mapInArrow(shard_rows(length), "anchor long, content long, start long")
+    starts = pieces.repartition("key").sortWithinPartitions("key").mapInArrow(shard_rows(length), "anchor long, content long, start long, end long")
     strings = scratch(starts, "strings")
     inner = differing.filter("k = 1").select("anchor", "content", "rid", F.col("start").alias("at")).join(strings, ["anchor", "content"])
-    spans = whole.union(inner.select("rid", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("start") + length).alias("end")))
+    spans = whole.union(inner.select("rid", (F.col("at") + F.col("start")).alias("start"), (F.col("at") + F.col("end")).alias("end")))
     by_row = spans.groupBy("rid").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
     schema = "id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_text
     return packed.join(by_row.hint("shuffle_hash"), "rid", "left").select("id", "txt", "spans").mapInArrow(kept_rows(length, with_text), schema)
