@@ -41,8 +41,8 @@ from termcluster.llm.textarrays import BASE_ONE, LETTER_WORD, U, mix, prefix_sum
 from termcluster.llm.training_sample import labelled_sample
 
 CATEGORIES = ("marked", "dense", "toxic")
-PER_CLASS = 3000
-SAMPLE_BYTES = 24 << 20
+PER_CLASS = 2000
+SAMPLE_BYTES = 12 << 20
 FEATURES = 2000
 FOLDS = 5
 STEPS, RATE, PENALTY = 150, 0.3, 1e-4

@@ -50,6 +50,8 @@ from termcluster.llm.textarrays import BASE_ONE, BYTE_VALUES, U, mix, prefix_sum
 LENGTH, GRAM = 400, 32
 BLOCKS_PER_SHARD = 4000
 SHARD_BYTES = 1 << 20
+# Texts held at a time where every byte takes several numbers.
+SLICE = 1 << 19
 NUMPY_BUCKETS = 6000
 
 
@@ -242,7 +244,7 @@ def block_rows(length: int, gram: int):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             row = b.column("rid").to_numpy()
-            for texts in text_slices(b.column("txt")):
+            for texts in text_slices(b.column("txt"), SLICE):
                 found = blocks(BYTE_VALUES[texts.data], texts.offsets, length, gram)
                 at = texts.first + found.text
                 start = found.start - texts.offsets[found.text]
@@ -280,7 +282,7 @@ def split_rows(length: int):
                 yield batch(key=cool.column("anchor"), anchor=cool.column("anchor"), content=cool.column("content"), first=np.zeros(cool.num_rows, np.int32), bytes=cool.column("bytes"))
             if hot.any():
                 whole = b.filter(pa.array(hot))
-                for texts in text_slices(whole.column("bytes")):
+                for texts in text_slices(whole.column("bytes"), SLICE):
                     sums = prefix_sums(BYTE_VALUES[texts.data], BASE_ONE)
                     count = np.maximum(np.diff(texts.offsets) - length + 1, 0)
                     at = runs(texts.offsets[:-1], count)
