@@ -8,7 +8,6 @@ functions  Column-expression helpers (tokens, distances, labels)
 operators  DataFrame -> DataFrame operators (mentions, ranking,
            postings, sampling, kmeans, report)
 plans      the named query catalogue and its DuckDB oracle SQL
-streaming  nothing: the workload is batch only (see its docstring)
 """
 
 from termcluster.params import ClusterParams

@@ -59,30 +59,19 @@ def checkpointed_points(vectors: DataFrame, points_per_task: int = POINTS_PER_TA
     checkpoint files, not from the source tables.
 
     The points are counted once and spread round-robin over
-    ``ceil(count / points_per_task)`` partitions, at most one per core.
-    A step then runs as many tasks as its work needs: never one task for
-    all points, and never thousands of near-empty tasks on a big cluster,
-    whatever the shuffle-partition and AQE settings."""
+    ``ceil(count / points_per_task)`` partitions. A step then runs as many
+    tasks as its work needs, whatever cores are registered when it starts
+    and whatever the shuffle-partition and AQE settings."""
     points = weighted_points(vectors).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         n = points.count()
         parts = max(1, math.ceil(n / max(1, points_per_task)))
-        cores = _default_parallelism(vectors.sparkSession)
-        if cores:
-            parts = min(parts, cores)
         out = reliable_checkpoint(points.repartition(parts))
     finally:
         points.unpersist()
     return out.persist(StorageLevel.MEMORY_AND_DISK_DESER)
 
 
-def _default_parallelism(spark: SparkSession) -> int | None:
-    try:
-        return int(spark.sparkContext.defaultParallelism)
-    except Exception:  # no context (Spark Connect): keep the partitions as they are
-        return None
-
-
 def point_weight(points: DataFrame):
     """The weight column of ``points``: ``w`` when present, else 1."""
     return F.col("w") if "w" in points.columns else F.lit(1).cast("bigint")

@@ -68,8 +68,11 @@ def question_answer_groups(postings: DataFrame, part: int = DEFAULT_PART) -> Dat
     of answers of the row and summing it per question gives the total."""
     if part <= 0:
         raise ValueError("part size must be positive")
+    # the exchange on both keys keeps the join splittable where one question is hot
     grouped = (question_answer_pairs(postings)
-               .groupBy("question_id", F.expr(f"answer_id div {int(part)}").alias("part"))
+               .withColumn("part", F.expr(f"answer_id div {int(part)}"))
+               .repartition("question_id", "part")
+               .groupBy("question_id", "part")
                .agg(F.array_sort(F.collect_list(F.struct("answer_id", "score"))).alias("a")))
     return grouped.select(
         "question_id", "part", F.size("a").cast("bigint").alias("n"),

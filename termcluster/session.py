@@ -3,8 +3,6 @@ local session factory for tests and the bench."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
@@ -13,9 +11,9 @@ def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
     Taken from the context (``setCheckpointDir``) or the
-    ``spark.checkpoint.dir`` setting. Only a local-mode session without
-    either gets a fresh temporary folder; on a cluster a machine-local
-    folder would not survive the loss of an executor, so we refuse."""
+    ``spark.checkpoint.dir`` setting, in local mode as well; there is no
+    fallback, as a machine-local folder would not survive the loss of an
+    executor."""
     configured = spark.conf.get("spark.checkpoint.dir", None)
     try:
         sc = spark.sparkContext
@@ -29,9 +27,6 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if configured:
         sc.setCheckpointDir(configured)
         return sc.getCheckpointDir() or configured
-    if sc.master.startswith("local"):
-        sc.setCheckpointDir(tempfile.mkdtemp(prefix="termcluster-ckpt-"))
-        return sc.getCheckpointDir()
     raise RuntimeError(
         "no checkpoint directory: set spark.checkpoint.dir to a shared "
         "folder (HDFS, S3, ...) visible to every executor")
@@ -67,5 +62,4 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    checkpoint_dir(spark)
     return spark

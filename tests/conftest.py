@@ -9,8 +9,10 @@ from termcluster.session import local_session  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     s = local_session(4, shuffle_partitions=4, app="termcluster-tests")
+    if not s.conf.get("spark.checkpoint.dir", None):
+        s.conf.set("spark.checkpoint.dir", str(tmp_path_factory.mktemp("checkpoints")))
     yield s
 
 

@@ -8,9 +8,9 @@ HEAD, TAIL = "<page> <title>", "</text> </page> "
 
 def test_rank_program(spark, tmp_path):
     p = tmp_path / "articles.dat"
-    texts = ["Groovy is pretty interesting, and so is Erlang", "Scala and Java run on the JVM",
-             "Scala is not purely functional", "The cool kids like Haskell more than Java",
-             "Java is for enterprise developers"]
+    texts = ["a small Groovy script calls an Erlang node", "the build mixes Java with Scala sources",
+             "every Scala trait may carry code", "lazy lists: Haskell has them, Java got streams",
+             "old Java servers keep running"]
     p.write_text("".join(f"{HEAD}Title {i}: a page</title><text>{t}{TAIL}\n" for i, t in enumerate(texts)))
     out = []
     res = cli.rank(spark, str(p), ["Scala", "Java", "Groovy", "Haskell", "Erlang", "Cobol"], out=out.append)

@@ -25,29 +25,29 @@ def report(df):
 
 # --- report fixtures -------------------------------------------------------
 
-def test_report_two_questions_five_answers(spark):
-    pts = points(spark, [(0, 70), (500000, 40)])
-    got = report(rep.cluster_report(pts, [(0, 1), (50000, 1)], LANGUAGES, SPREAD))
-    assert got == [("Scala", 100.0, 1, 40), ("JavaScript", 100.0, 1, 70)]
+def test_report_two_single_point_clusters(spark):
+    pts = points(spark, [(0, 33), (500000, 8)])
+    got = report(rep.cluster_report(pts, [(10, 30), (490000, 5)], LANGUAGES, SPREAD))
+    assert got == [("Scala", 100.0, 1, 8), ("JavaScript", 100.0, 1, 33)]
 
 
-def test_report_same_tag(spark):
-    pts = points(spark, [(500000, 20), (500000, 40)])
-    got = report(rep.cluster_report(pts, [(40000, 1), (50000, 1)], LANGUAGES, SPREAD))
-    assert got == [("Scala", 100.0, 2, 30)]
+def test_report_one_tag(spark):
+    pts = points(spark, [(500000, 6), (500000, 13)])
+    got = report(rep.cluster_report(pts, [(100, 0), (480000, 9)], LANGUAGES, SPREAD))
+    assert got == [("Scala", 100.0, 2, 9)]
 
 
 def test_report_tie_larger_x_wins(spark):
-    pts = points(spark, [(550000, 13), (200000, 12), (50000, 16)])
-    got = report(rep.cluster_report(pts, [(125000, 14), (550000, 13)], LANGUAGES, SPREAD))
-    assert sorted(got) == sorted([("Haskell", 100.0, 1, 13), ("C#", 50.0, 2, 14)])
+    pts = points(spark, [(0, 5), (50000, 8)])
+    got = report(rep.cluster_report(pts, [(25000, 6)], LANGUAGES, SPREAD))
+    assert got == [(LANGUAGES[1], 50.0, 2, 6)]
 
 
 def test_report_lines(spark):
-    pts = points(spark, [(500000, 20), (500000, 40)])
+    pts = points(spark, [(500000, 6), (500000, 13)])
     lines = [r["line"] for r in rep.report_lines(
-        rep.cluster_report(pts, [(40000, 1), (50000, 1)], LANGUAGES, SPREAD)).collect()]
-    assert lines == ["     30  Scala             (100.0%)            2"]
+        rep.cluster_report(pts, [(100, 0), (480000, 9)], LANGUAGES, SPREAD)).collect()]
+    assert lines == ["      9  Scala             (100.0%)            2"]
 
 
 # --- single operators ------------------------------------------------------

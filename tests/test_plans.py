@@ -76,7 +76,7 @@ def test_matches_duckdb(spark, duck, name):
 
 
 def test_every_query_has_an_oracle_but_sampling():
-    assert set(entry.queries()) - set(entry.oracle_sql()) == {"lines_sample_with_replacement"}
+    assert set(entry.QUERIES) - set(entry.oracle_sql()) == {"lines_sample_with_replacement"}
 
 
 def _partial_before_exchange(plan_text, partial_fn):
@@ -109,7 +109,7 @@ def test_kmeans_step_shape(spark):
     from termcluster.sources import tables
     run = prepare(tables.postings(spark, SF), POSTING_PARAMS)
     n = run.points.count()
-    assert run.points.rdd.getNumPartitions() == min(spark.sparkContext.defaultParallelism, max(1, -(-n // km.POINTS_PER_TASK)))
+    assert run.points.rdd.getNumPartitions() == max(1, -(-n // km.POINTS_PER_TASK))
     step = km.step_means(run.points, run.initial)
     p = plan(step)
     assert "Coalesce 1" in p and "partial_sum" in p and "InMemoryTableScan" in p

@@ -40,9 +40,9 @@ def test_configured_folder_is_used():
     assert checkpoint_dir(s) == "s3a://bucket/ckpt"
 
 
-def test_local_master_gets_a_temporary_folder():
-    s = _Session("local[4]")
-    assert checkpoint_dir(s).startswith("file:/")
+def test_local_master_without_setting_is_refused():
+    with pytest.raises(RuntimeError):
+        checkpoint_dir(_Session("local[4]"))
 
 
 def test_cluster_without_setting_is_refused():
