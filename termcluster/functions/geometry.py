@@ -83,13 +83,28 @@ def term_index(tag: Column, terms: Sequence[str]) -> Column:
     return (F.array_position(arr, tag) - 1).cast("int")
 
 
+def text_order_code(tag: Column, terms: Sequence[str]) -> Column:
+    """An integer ordered as the tag's text: odd for listed terms, even for
+    the gaps between them (unlisted tags of one gap share a code); null when
+    the tag is null."""
+    below = sum((F.when(tag > F.lit(t), 1).otherwise(0) for t in terms), F.lit(0))
+    return F.when(tag.isNotNull(), below * 2 + F.when(tag.isin(*terms), 1).otherwise(0)).cast("int")
+
+
+def text_order_index(code: str, terms: Sequence[str]) -> Column:
+    """The index in ``terms`` of a ``text_order_code``; null for unlisted tags."""
+    by_text = sorted(range(len(terms)), key=lambda i: terms[i].encode())
+    return F.when(F.col(code) % 2 == 1, F.get(F.array(*[F.lit(i) for i in by_text]), F.expr(f"int(`{code}` div 2)")))
+
+
 def term_label(x: str, spread: int, terms: Sequence[str]) -> Column:
     """The term whose stratum holds column ``x``: ``terms[x div spread]``.
 
-    ``element_at`` raises under ANSI mode when the index is outside the
-    list, as an out-of-range lookup should."""
+    An index outside the list fails the job, with ANSI on or off."""
     arr = F.array(*[F.lit(t) for t in terms])
-    return F.element_at(arr, F.expr(f"int(`{x}` div {int(spread)}) + 1"))
+    place = F.expr(f"int(`{x}` div {int(spread)}) + 1")
+    outside = F.raise_error(F.concat(F.lit("no term for x = "), F.col(x).cast("string"))).cast("string")
+    return F.when(place.between(1, len(terms)), F.get(arr, place - 1)).otherwise(outside)
 
 
 def _lit_or_col(v) -> Column:

@@ -62,7 +62,12 @@ def prepare(postings: DataFrame, params: ClusterParams) -> Clustering:
 
 
 def cluster_questions(postings: DataFrame, params: ClusterParams) -> Clustering:
-    """Prepare and run k-means to convergence (or the iteration cap)."""
+    """Prepare and run k-means to convergence (or the iteration cap, see
+    ``result.converged``). The cached points are released; the report reads
+    the checkpoint."""
     c = prepare(postings, params)
-    c.result = km.kmeans(c.points, c.initial, params.eta, params.max_iterations)
+    try:
+        c.result = km.kmeans(c.points, c.initial, params.eta, params.max_iterations)
+    finally:
+        c.release()
     return c

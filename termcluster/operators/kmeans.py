@@ -16,7 +16,7 @@ Execution plan:
 * The weighted points are written to the shared checkpoint folder, so
   every step starts from stable storage (a lost executor re-reads the
   checkpoint instead of recomputing the scan and the join), spread over
-  ``ceil(count / POINTS_PER_TASK)`` partitions, at most one per core.
+  ``ceil(count / POINTS_PER_TASK)`` partitions, whatever the cores.
 * Centres enter each step as one literal array
   (``functions.geometry.with_nearest_centre``), so the plan of a step
   does not grow across iterations and its code does not change when the
@@ -58,15 +58,15 @@ def checkpointed_points(vectors: DataFrame, points_per_task: int = POINTS_PER_TA
     kept in memory for the steps; a lost cached block is rebuilt from the
     checkpoint files, not from the source tables.
 
-    The points are counted once and spread round-robin over
-    ``ceil(count / points_per_task)`` partitions. A step then runs as many
+    The points are counted once and spread by their (distinct) position
+    over ``ceil(count / points_per_task)`` partitions. A step then runs as many
     tasks as its work needs, whatever cores are registered when it starts
     and whatever the shuffle-partition and AQE settings."""
     points = weighted_points(vectors).persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         n = points.count()
         parts = max(1, math.ceil(n / max(1, points_per_task)))
-        out = reliable_checkpoint(points.repartition(parts))
+        out = reliable_checkpoint(points.repartition(parts, "x", "y"))
     finally:
         points.unpersist()
     return out.persist(StorageLevel.MEMORY_AND_DISK_DESER)
@@ -143,11 +143,16 @@ class KMeansResult:
     centres: Centres
     iterations: int
     movement: float
+    converged: bool
 
     def frame(self, spark: SparkSession) -> DataFrame:
-        """``(cluster int, x bigint, y bigint, iterations int)``."""
-        return centres_frame(spark, self.centres).withColumn(
-            "iterations", F.lit(self.iterations).cast("int"))
+        """``(cluster int, x bigint, y bigint, iterations int, movement
+        double, converged boolean)``; a run that hit the iteration cap has
+        ``converged`` false."""
+        return centres_frame(spark, self.centres).select(
+            "*", F.lit(self.iterations).cast("int").alias("iterations"),
+            F.lit(self.movement).cast("double").alias("movement"),
+            F.lit(self.converged).alias("converged"))
 
 
 def kmeans(points: DataFrame, centres: Sequence[tuple[int, int]], eta: float,
@@ -174,4 +179,4 @@ def kmeans(points: DataFrame, centres: Sequence[tuple[int, int]], eta: float,
         current = nxt
         if moved < eta:
             break
-    return KMeansResult(current, it, moved)
+    return KMeansResult(current, it, moved, moved < eta)

@@ -6,12 +6,13 @@ question may hold a large share of all answers.
 * ``score_vectors`` (the input of the clustering) keys every posting by
   its question id and computes the tag index and the best score in one
   hash aggregate: one exchange of pre-aggregated rows, no join, no sort.
-* ``question_max_score`` returns the tag text, whose minimum cannot be
-  hash-aggregated; it aggregates the answers **before** the join
-  (``groupBy(parent).max``: the partial aggregate leaves one row per
-  question per map task, which flattens any hot question) and joins them
-  to the questions de-duplicated on the same key, so the join reuses that
-  partitioning and ordering instead of adding an exchange.
+* ``question_max_score`` does the same with the tag text. The minimum of a
+  text cannot be hash-aggregated, so the tag is first a grouping key (a
+  hash aggregate, which flattens any hot question to one row per tag and
+  map task) and the minimum is taken over the few rows that are left.
+
+One rule for repeated question ids holds everywhere: they are one question
+with the smallest non-null tag in text order, listed or not.
 """
 
 from __future__ import annotations
@@ -19,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from termcluster.functions.geometry import term_index
+from termcluster.functions.geometry import term_index, text_order_code, text_order_index
 from termcluster.params import check_terms
 
 # Answer ids per group part of ``question_answer_groups``: a part holds
@@ -41,26 +42,25 @@ def answers(postings: DataFrame) -> DataFrame:
                     F.col("id").alias("answer_id"), "score"))
 
 
-def unique_questions(postings: DataFrame) -> DataFrame:
-    """One row per question id. A repeated id keeps its smallest
-    non-null tag (the reference keeps whichever row comes first, which
-    is not reproducible)."""
-    return questions(postings).groupBy("question_id").agg(F.min("tag").alias("tag"))
-
-
 def question_answer_pairs(postings: DataFrame) -> DataFrame:
-    """Answers whose question exists: ``(question_id, answer_id, score)``.
-
-    A left-semi join: each answer appears once even if its question id
-    is repeated, so no group ever multiplies into all its pairs; AQE can
-    split a hot question's answers across tasks (skew join)."""
-    q = questions(postings).select("question_id")
-    return answers(postings).join(q, "question_id", "left_semi")
+    """Answers with their question's tag: ``(question_id, tag, answer_id,
+    score)``.
+
+    An inner join with one row per question id, so each answer appears
+    once and no group multiplies into all its pairs. The questions are
+    made unique on the inverted id: the join then exchanges them itself,
+    and only sides that come straight from an exchange can be split by
+    AQE where one question is hot (skew join)."""
+    q = (questions(postings)
+         .groupBy(F.bitwise_not("question_id").alias("inverted"))
+         .agg(F.min("tag").alias("tag"))
+         .select(F.bitwise_not("inverted").alias("question_id"), "tag"))
+    return answers(postings).join(q, "question_id").select("question_id", "tag", "answer_id", "score")
 
 
 def question_answer_groups(postings: DataFrame, part: int = DEFAULT_PART) -> DataFrame:
-    """Answers grouped per question: ``(question_id, part, n, answer_ids,
-    scores)``, both arrays ordered by answer id.
+    """Answers grouped per question: ``(question_id, tag, part, n,
+    answer_ids, scores)``, both arrays ordered by answer id.
 
     The group key is ``(question_id, answer_id div part)``, so a question
     with more than ``part`` answers spreads over several bounded rows
@@ -72,24 +72,39 @@ def question_answer_groups(postings: DataFrame, part: int = DEFAULT_PART) -> Dat
     grouped = (question_answer_pairs(postings)
                .withColumn("part", F.expr(f"answer_id div {int(part)}"))
                .repartition("question_id", "part")
-               .groupBy("question_id", "part")
+               .groupBy("question_id", "part", "tag")
                .agg(F.array_sort(F.collect_list(F.struct("answer_id", "score"))).alias("a")))
     return grouped.select(
-        "question_id", "part", F.size("a").cast("bigint").alias("n"),
+        "question_id", "tag", "part", F.size("a").cast("bigint").alias("n"),
         F.col("a").getField("answer_id").alias("answer_ids"),
         F.col("a").getField("score").alias("scores"))
 
 
-def best_answer_scores(postings: DataFrame) -> DataFrame:
-    """``(question_id, max_score)`` over all answers of each question."""
-    return answers(postings).groupBy("question_id").agg(F.max("score").alias("max_score"))
+def _keyed(postings: DataFrame) -> DataFrame:
+    """Every posting under its question's id, read once: ``(question_id,
+    is_question, tag, score)`` with the tag of questions and the score of
+    answers only; other posting types and keyless answers drop out."""
+    is_question, is_answer = F.col("posting_type") == 1, F.col("posting_type") == 2
+    return (postings.filter(is_question | is_answer)
+            .select(F.when(is_question, F.col("id")).otherwise(F.col("parent_id")).alias("question_id"),
+                    is_question.alias("is_question"),
+                    F.when(is_question, F.col("tag")).alias("tag"),
+                    F.when(is_answer, F.col("score")).alias("score"))
+            .filter(F.col("question_id").isNotNull()))
 
 
 def question_max_score(postings: DataFrame) -> DataFrame:
     """Answered questions with their best answer score:
     ``(question_id, tag, max_score)``. A negative best score stays
     negative; unanswered questions and orphan answers drop out."""
-    return unique_questions(postings).join(best_answer_scores(postings), "question_id", "inner")
+    per_tag = (_keyed(postings).groupBy("question_id", "tag")
+               .agg(F.max("score").alias("score"), F.max("is_question").alias("q"),
+                    F.min("is_question").alias("q_only")))
+    return (per_tag.groupBy("question_id")
+            .agg(F.min("tag").alias("tag"), F.max("score").alias("max_score"),
+                 F.max("q").alias("q"), F.min("q_only").alias("q_only"))
+            .filter(F.col("q") & ~F.col("q_only"))
+            .select("question_id", "tag", "max_score"))
 
 
 def question_tag_index(scored: DataFrame, terms) -> DataFrame:
@@ -106,28 +121,27 @@ def score_vectors(postings: DataFrame, terms, spread: int, sort: bool = False) -
 
     Questions and answers are rows of the same posting table, so instead
     of aggregating each side and joining them, every posting is keyed by
-    its question id and **one** hash aggregate computes both the tag index
-    (``min`` over the question rows; a repeated id keeps its smallest
-    listed index) and the best score (``max`` over the answer rows). One
-    exchange of pre-aggregated rows, no join and no sort: a hot question
-    collapses to one row per map task, and unlisted questions are dropped
-    before the shuffle. Ids with both parts are the inner-join result.
-
-    ``sort=True`` adds the global sort by x; nothing downstream needs it
-    and with few distinct x it range-partitions badly, so it is off."""
+    its question id and **one** hash aggregate computes both the tag
+    (``min`` over the question rows) and the best score (``max`` over the
+    answer rows). One scan, one exchange of pre-aggregated rows, no join
+    and no sort: a hot question collapses to one row per map task. Ids
+    with both parts are the inner-join result.
+
+    The minimum is taken over ``text_order_code``, an integer that orders
+    tags as their texts do, as a text could not be hash-aggregated.
+
+    ``sort=True`` adds the global sort by x, then id (with x alone, a range
+    partition would hold a whole stratum); nothing downstream needs it."""
     terms = check_terms(terms)
     if spread <= 0:
         raise ValueError("spread must be positive")
-    q = (questions(postings)
-         .select("question_id", term_index(F.col("tag"), terms).alias("idx"),
-                 F.lit(None).cast("int").alias("score"))
-         .filter(F.col("idx") >= 0))
-    a = answers(postings).select("question_id", F.lit(None).cast("int").alias("idx"), "score")
-    both = (q.unionByName(a)
+    both = (_keyed(postings)
+            .select("question_id", text_order_code(F.col("tag"), terms).alias("code"), "score")
             .groupBy("question_id")
-            .agg(F.min("idx").alias("idx"), F.max("score").alias("max_score"))
+            .agg(F.min("code").alias("code"), F.max("score").alias("max_score"))
+            .select("question_id", text_order_index("code", terms).alias("idx"), "max_score")
             .filter(F.col("idx").isNotNull() & F.col("max_score").isNotNull()))
     v = both.select(F.col("question_id").alias("id"),
                     (F.col("idx") * F.lit(int(spread))).alias("x"),
                     F.col("max_score").alias("y"))
-    return v.orderBy("x") if sort else v
+    return v.orderBy("x", "id") if sort else v

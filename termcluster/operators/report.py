@@ -3,16 +3,17 @@
 All of it is aggregation over the (weighted) points assigned to the
 final centres: the dominant x is the maximum of ``(count, x)`` structs
 per cluster (ties go to the larger x), the size a sum of weights and
-the median Spark's exact weighted ``percentile``, truncated toward zero
-(an even-sized cluster takes half the sum of its middle values). No
-cluster's members are ever collected into one array.
+the median an exact rank search, truncated toward zero (an even-sized
+cluster takes half the sum of its middle values). No buffer holds a
+cluster's members or its distinct scores: the search adds up the weights
+of score buckets, and looks only into those that hold a middle rank.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termcluster.functions.geometry import term_label
@@ -28,6 +29,10 @@ REPORT_HEADER = (
 )
 
 
+# A bucket holds 2^16 scores, so a cluster of 32-bit scores has at most 2^16 buckets.
+BUCKET_BITS = 16
+
+
 def _assigned(points: DataFrame, centres) -> DataFrame:
     return assign_nearest(points, centres).select("cluster", "x", "y", point_weight(points).alias("w"))
 
@@ -56,8 +61,26 @@ def cluster_dominant(points: DataFrame, centres, terms, spread: int) -> DataFram
 
 
 def _median(assigned: DataFrame) -> DataFrame:
-    return assigned.groupBy("cluster").agg(
-        F.percentile(F.col("y"), F.lit(0.5), F.col("w")).cast("int").alias("median"))
+    """``(cluster, median)``. Ranks count from 0; the middle ones are
+    ``lo`` and ``hi``, the same for odd sizes. The windows see one row per
+    bucket of a cluster, then one row per score of the chosen buckets (at
+    most two a cluster, so their broadcast holds at most 2 K rows)."""
+    scores = (assigned.groupBy("cluster", F.col("y").cast("bigint").alias("y")).agg(F.sum("w").alias("w"))
+              .withColumn("bucket", F.shiftright("y", BUCKET_BITS)))
+    cluster = Window.partitionBy("cluster")
+    before = F.sum("w").over(cluster.orderBy("bucket")) - F.col("w")
+    total = F.sum("w").over(cluster)
+    chosen = (scores.groupBy("cluster", "bucket").agg(F.sum("w").alias("w"))
+              .select("cluster", "bucket", "w", before.alias("before"), total.alias("total"))
+              .selectExpr("cluster", "bucket", "w", "before", "(total - 1) div 2 AS lo", "total div 2 AS hi")
+              .filter("before <= hi AND before + w > lo").drop("w"))
+    inside = Window.partitionBy("cluster", "bucket").orderBy("y")
+    ranked = (scores.join(F.broadcast(chosen), ["cluster", "bucket"])
+              .withColumn("end", F.col("before") + F.sum("w").over(inside)))
+    held = {r: F.max(F.when((F.col("end") > F.col(r)) & (F.col("end") - F.col("w") <= F.col(r)), F.col("y")))
+            for r in ("lo", "hi")}
+    return (ranked.groupBy("cluster").agg(*(c.alias(r) for r, c in held.items()))
+            .selectExpr("cluster", "int((lo + hi) div 2) AS median"))
 
 
 def cluster_median(points: DataFrame, centres) -> DataFrame:
@@ -69,7 +92,9 @@ def cluster_report(points: DataFrame, centres, terms, spread: int,
                    with_cluster: bool = False) -> DataFrame:
     """``(label, percent, size, median)`` per non-empty cluster, ordered
     by median (then label). Both joined sides hold at most K rows."""
-    assigned = _assigned(points, centres)
+    # Grouped once, so that both branches reuse one exchange and the
+    # nearest centres are computed once.
+    assigned = _assigned(points, centres).groupBy("cluster", "x", "y").agg(F.sum("w").alias("w"))
     rep = _dominant(assigned, terms, spread).join(F.broadcast(_median(assigned)), "cluster")
     cols = (["cluster"] if with_cluster else []) + ["label", "percent", "size", "median"]
     # At most K rows: one partition sorted in place gives the total order

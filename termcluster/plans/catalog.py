@@ -17,8 +17,9 @@ from termcluster.operators import mentions
 from termcluster.operators import postings as post
 from termcluster.operators import report as rep
 from termcluster.operators import sampling
-from termcluster.operators.clustering import cluster_questions
+from termcluster.operators.clustering import cluster_questions, prepare
 from termcluster.params import ClusterParams
+from termcluster.session import reliable_checkpoint
 from termcluster.sources import articles as article_src
 from termcluster.sources import postings as posting_src
 from termcluster.sources import tables
@@ -29,6 +30,10 @@ QueryFn = Callable[[SparkSession, str], DataFrame]
 # The single term of the one-term queries.
 ONE_TERM = "the"
 
+# The sampled share of the posting lines.
+SAMPLE_FRACTION = 0.1
+SAMPLE_SEED = 0
+
 # Clustering of the order/line-item postings: 5 priority strata, three
 # centres each. With spread 50000 every cluster of this data is pure, so
 # the "_mixed" queries rerun with spread 5000 to exercise the dominance
@@ -79,7 +84,7 @@ def posting_lines_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lines_sample_with_replacement(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = posting_src.posting_lines(tables.postings(spark, sf_dir))
-    return posting_src.sample_lines(lines, fraction=0.1, seed=0, with_replacement=True)
+    return posting_src.sample_lines(lines, fraction=SAMPLE_FRACTION, seed=SAMPLE_SEED)
 
 
 def questions_keyed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,6 +120,11 @@ def score_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _vectors(spark, sf_dir)
 
 
+def score_vectors_sorted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = POSTING_PARAMS
+    return post.score_vectors(tables.postings(spark, sf_dir), p.terms, p.spread, sort=True)
+
+
 def sample_per_stratum(spark: SparkSession, sf_dir: str) -> DataFrame:
     p = POSTING_PARAMS
     return sampling.sample_per_stratum(_vectors(spark, sf_dir), p.per_stratum, p.seed).select("x", "y", "id")
@@ -125,32 +135,32 @@ def sample_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_global(_vectors(spark, sf_dir), p.kernels, p.seed).select("x", "y", "id")
 
 
-def _initial(spark: SparkSession, sf_dir: str, params: ClusterParams = POSTING_PARAMS):
-    """Vectors and the stratified initial centres (at most K rows collected)."""
-    vectors = _vectors(spark, sf_dir, params)
-    centres = sampling.initial_centres(vectors, params.kernels, params.per_stratum, params.seed)
-    return vectors, centres
+def _prepared(spark: SparkSession, sf_dir: str, params: ClusterParams = POSTING_PARAMS):
+    """Weighted points in the checkpoint folder and the stratified initial
+    centres; the tables are read once and nothing stays cached."""
+    c = prepare(tables.postings(spark, sf_dir), params)
+    c.release()
+    return c.points, c.initial
 
 
 def assign_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, centres = _initial(spark, sf_dir)
+    p = POSTING_PARAMS
+    vectors = reliable_checkpoint(_vectors(spark, sf_dir))
+    centres = sampling.initial_centres(vectors, p.kernels, p.per_stratum, p.seed)
     return km.assign_nearest(vectors, centres).select("id", "x", "y", "cluster")
 
 
 def cluster_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, centres = _initial(spark, sf_dir)
-    return km.cluster_means(km.weighted_points(vectors), centres)
+    return km.cluster_means(*_prepared(spark, sf_dir))
 
 
 def cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, centres = _initial(spark, sf_dir)
-    return rep.cluster_sizes(km.weighted_points(vectors), centres)
+    return rep.cluster_sizes(*_prepared(spark, sf_dir))
 
 
 def centre_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, centres = _initial(spark, sf_dir)
-    new = km.cluster_means(km.weighted_points(vectors), centres)
-    return km.centre_movement(km.centres_frame(spark, centres), new)
+    points, centres = _prepared(spark, sf_dir)
+    return km.centre_movement(km.centres_frame(spark, centres), km.cluster_means(points, centres))
 
 
 def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,8 +169,7 @@ def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dominant(spark: SparkSession, sf_dir: str, params: ClusterParams) -> DataFrame:
-    vectors, centres = _initial(spark, sf_dir, params)
-    return rep.cluster_dominant(km.weighted_points(vectors), centres, params.terms, params.spread)
+    return rep.cluster_dominant(*_prepared(spark, sf_dir, params), params.terms, params.spread)
 
 
 def cluster_dominant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -172,8 +181,7 @@ def cluster_dominant_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    vectors, centres = _initial(spark, sf_dir)
-    return rep.cluster_median(km.weighted_points(vectors), centres)
+    return rep.cluster_median(*_prepared(spark, sf_dir))
 
 
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -206,6 +214,7 @@ QUERIES: dict[str, QueryFn] = {
     "question_max_score": question_max_score,
     "question_tag_index": question_tag_index,
     "score_vectors": score_vectors,
+    "score_vectors_sorted": score_vectors_sorted,
     "sample_per_stratum": sample_per_stratum,
     "sample_global": sample_global,
     "assign_nearest": assign_nearest,

@@ -11,7 +11,8 @@ from termcluster.operators.mentions import DEFAULT_BLOCK
 from termcluster.operators.postings import DEFAULT_PART
 from termcluster.operators.report import REPORT_FORMAT
 from termcluster.params import ClusterParams
-from termcluster.plans.catalog import MIXED_PARAMS, ONE_TERM, POSTING_PARAMS
+from termcluster.plans.catalog import MIXED_PARAMS, ONE_TERM, POSTING_PARAMS, SAMPLE_FRACTION, SAMPLE_SEED
+from termcluster.sources.postings import DRAW_DIGITS, poisson_thresholds
 from termcluster.sources.tables import ANSWER_ID_FACTOR, DOCUMENT_TERMS
 
 
@@ -82,8 +83,8 @@ scored AS (SELECT q.question_id, q.tag, b.max_score FROM uq q JOIN best b USING
 def _vector_ctes(p: ClusterParams) -> str:
     tags = _list(p.terms)
     return f"""{_postings_ctes()},
-qidx AS (SELECT question_id, min(list_position({tags}, tag) - 1) AS idx FROM questions
-         WHERE list_position({tags}, tag) IS NOT NULL GROUP BY question_id),
+qidx AS (SELECT question_id, list_position({tags}, tag) - 1 AS idx FROM uq
+         WHERE list_position({tags}, tag) IS NOT NULL),
 vectors AS (SELECT question_id AS id, (idx * {p.spread})::INTEGER AS x, max_score AS y
             FROM qidx JOIN best USING (question_id)),
 smp AS (SELECT x, y, id,
@@ -118,7 +119,7 @@ km(it, c, mv) AS (
   ) s
   WHERE k.it < {p.max_iterations} AND (k.mv IS NULL OR k.mv >= {float(p.eta)})
 ),
-final AS (SELECT c, it FROM km ORDER BY it DESC LIMIT 1)"""
+final AS (SELECT c, it, mv FROM km ORDER BY it DESC LIMIT 1)"""
 
 
 def _assigned(centres: str) -> str:
@@ -175,24 +176,33 @@ SELECT 1 AS posting_type, o_orderkey AS id, NULL::BIGINT AS accepted_answer, NUL
 UNION ALL
 SELECT 2, l_orderkey * {ANSWER_ID_FACTOR} + l_linenumber, NULL, l_orderkey,
        trunc(l_extendedprice)::INTEGER, NULL FROM lineitem""",
+        "lines_sample_with_replacement": f"""
+WITH lines AS (
+  SELECT concat('1,', o_orderkey, ',,,0', coalesce(',' || o_orderpriority, '')) AS value FROM orders
+  UNION ALL
+  SELECT concat('2,', l_orderkey * {ANSWER_ID_FACTOR} + l_linenumber, ',,', l_orderkey, ',',
+                trunc(l_extendedprice)::INTEGER) FROM lineitem),
+draws AS (SELECT value, ('0x' || substr(md5('{SAMPLE_SEED}:' || value), 1, {DRAW_DIGITS}))::BIGINT AS d FROM lines),
+copies AS (SELECT value, len(list_filter({poisson_thresholds(SAMPLE_FRACTION)}, lambda t: d >= t)) AS k FROM draws)
+SELECT value FROM (SELECT value, unnest(range(k)) AS i FROM copies)""",
         "questions_keyed": f"WITH {_postings_ctes()} SELECT question_id, tag FROM questions",
         "answers_keyed": f"WITH {_postings_ctes()} SELECT question_id, answer_id, score FROM answers",
         "question_answer_pairs": f"""
 WITH {_postings_ctes()}
-SELECT question_id, answer_id, score FROM answers
-WHERE question_id IN (SELECT question_id FROM questions)""",
+SELECT question_id, tag, answer_id, score FROM answers JOIN uq USING (question_id)""",
         "question_answer_groups": f"""
 WITH {_postings_ctes()}
-SELECT question_id, answer_id // {DEFAULT_PART} AS part, count(*)::BIGINT AS n,
+SELECT question_id, tag, answer_id // {DEFAULT_PART} AS part, count(*)::BIGINT AS n,
        list(answer_id ORDER BY answer_id, score) AS answer_ids, list(score ORDER BY answer_id, score) AS scores
-FROM answers WHERE question_id IN (SELECT question_id FROM questions)
-GROUP BY question_id, answer_id // {DEFAULT_PART}""",
+FROM answers JOIN uq USING (question_id)
+GROUP BY question_id, tag, answer_id // {DEFAULT_PART}""",
         "question_max_score": f"WITH {_postings_ctes()} SELECT question_id, tag, max_score FROM scored",
         "question_tag_index": f"""
 WITH {_postings_ctes()}
 SELECT question_id, (list_position({tags}, tag) - 1)::INTEGER AS idx
 FROM scored WHERE list_position({tags}, tag) IS NOT NULL""",
         "score_vectors": f"WITH {_vector_ctes(p)} SELECT id, x, y FROM vectors",
+        "score_vectors_sorted": f"WITH {_vector_ctes(p)} SELECT id, x, y FROM vectors ORDER BY x, id",
         "sample_per_stratum": f"WITH {_vector_ctes(p)} SELECT x, y, id FROM smp",
         "sample_global": f"""
 WITH {_vector_ctes(p)}
@@ -206,7 +216,7 @@ SELECT cluster, count(*)::BIGINT AS size FROM assigned GROUP BY cluster""",
 WITH {_vector_ctes(p)},{_means('init')}
 SELECT coalesce(sum({_sq('n.x', 'o.x')} + {_sq('n.y', 'o.y')}), 0.0)::DOUBLE AS movement
 FROM old o JOIN new n USING (cluster)""",
-        "kmeans": f"WITH RECURSIVE {_kmeans_ctes(p)} {_unnest_centres('final', ', it::INTEGER AS iterations')}",
+        "kmeans": f"WITH RECURSIVE {_kmeans_ctes(p)} {_unnest_centres('final', f', it::INTEGER AS iterations, mv AS movement, mv < {float(p.eta)} AS converged')}",
         "cluster_dominant": f"""
 WITH {_vector_ctes(p)},{_assigned('init')},{_dominant(p, 'init')}
 SELECT cluster, label, percent FROM dominant""",

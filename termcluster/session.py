@@ -3,7 +3,6 @@ local session factory for tests and the bench."""
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,13 +34,10 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def reliable_checkpoint(df: DataFrame) -> DataFrame:
     """Materialise ``df`` into the shared checkpoint folder and cut its
     lineage, so later jobs (k-means steps) never recompute the scan and
-    join when an executor is lost. The data is persisted first so the
-    checkpoint write does not recompute it."""
+    join when an executor is lost. The eager write is the one job that
+    computes ``df``, so no cached copy is needed."""
     checkpoint_dir(df.sparkSession)
-    df = df.persist(StorageLevel.MEMORY_AND_DISK_DESER)
-    out = df.checkpoint(eager=True)
-    df.unpersist()
-    return out
+    return df.checkpoint(eager=True)
 
 
 def local_session(cpus: int | str = "*", shuffle_partitions: int = 8,

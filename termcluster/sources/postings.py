@@ -13,6 +13,8 @@ on a data set of this target size); type and score stay ``int``.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -83,6 +85,30 @@ def posting_lines(postings: DataFrame) -> DataFrame:
 
 def sample_lines(lines: DataFrame, fraction: float = 0.1, seed: int = 0,
                  with_replacement: bool = True) -> DataFrame:
-    """Row sample of the source (Poisson sampling with replacement by
-    default). Distributed: each partition samples itself."""
-    return lines.sample(withReplacement=with_replacement, fraction=fraction, seed=seed)
+    """Row sample of the source: with replacement (default), a row appears
+    k times with the Poisson probability of k for the mean ``fraction``.
+
+    The draw is the md5 of seed and line, so the sample is the same on any
+    layout; equal lines share their draw. Other columns are dropped."""
+    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{int(seed)}:"), F.col("value"))), 1, DRAW_DIGITS), 16, 10).cast("bigint")
+    if not with_replacement:
+        return lines.select("value").filter(draw < int(fraction * 16 ** DRAW_DIGITS))
+    copies = sum((F.when(draw >= t, 1).otherwise(0) for t in poisson_thresholds(fraction)), F.lit(0))
+    return lines.select(F.explode(F.array_repeat("value", copies)).alias("value"))
+
+
+# Hex digits of a draw: exact in a bigint and in the doubles of the thresholds.
+DRAW_DIGITS = 13
+
+
+def poisson_thresholds(mean: float) -> list[int]:
+    """A draw of at least the k-th threshold (from 0) gives more than k copies."""
+    if not 0 <= mean <= 100:
+        raise ValueError("sample fraction outside 0..100")
+    scale, out = 16 ** DRAW_DIGITS, []
+    p = total = math.exp(-mean)
+    while int(total * scale) < scale and p * scale >= 1 or len(out) < mean:
+        out.append(int(total * scale))
+        p *= mean / len(out)
+        total += p
+    return out

@@ -189,6 +189,46 @@ def test_many_centres_step_matches_brute_force(spark):
     assert got.centres == want and got.iterations == 1
 
 
+@pytest.mark.parametrize("seed", range(3))
+def test_median_matches_brute_force(spark, seed):
+    """Scores of both signs over many buckets, even sizes, heavy weights."""
+    rng = random.Random(seed)
+    pts = [(rng.choice([0, 10**6, 2 * 10**6]), rng.choice([rng.randint(-2**31, 2**31 - 1), rng.randint(-3, 3), 65536 * rng.randint(-2, 2)]),
+            rng.choice([1, 2, 999])) for _ in range(120)]
+    pts = list({(x, y): (x, y, w) for x, y, w in pts}.values())
+    df = spark.createDataFrame(pts, "x int, y int, w bigint")
+    centres = [(0, 0), (10**6, 0), (2 * 10**6, 0)]
+    got = {r["cluster"]: r["median"] for r in rep.cluster_median(df, centres).collect()}
+    members = {}
+    for x, y, w in pts:
+        c = min(range(3), key=lambda i: ((x - centres[i][0]) ** 2 + float(y) ** 2, i))
+        members.setdefault(c, []).extend([y] * w)
+    want = {}
+    for c, ys in members.items():
+        ys.sort()
+        want[c] = int((ys[(len(ys) - 1) // 2] + ys[len(ys) // 2]) / 2)
+    assert got == want
+
+
+def test_iteration_cap_is_reported(spark):
+    df = spark.createDataFrame([(0, 0), (0, 10), (0, 100)], "x int, y int")
+    capped = km.kmeans(df, [(0, 0), (0, 1)], 1.0, 1)
+    assert not capped.converged and not capped.frame(spark).first()["converged"]
+    assert km.kmeans(df, [(0, 0), (0, 1)], 1.0, 50).converged
+
+
+def test_label_outside_the_terms_fails_with_ansi_off(spark):
+    from termcluster.functions.geometry import term_label
+    ansi = spark.conf.get("spark.sql.ansi.enabled")
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        df = spark.createDataFrame([(30,)], "x int")
+        with pytest.raises(Exception, match="no term for x"):
+            df.select(term_label("x", 10, ("a", "b", "c"))).collect()
+    finally:
+        spark.conf.set("spark.sql.ansi.enabled", ansi)
+
+
 def test_report_survives_release_of_cached_points(spark):
     from termcluster.operators.clustering import cluster_questions
     from termcluster.sources.postings import POSTING_SCHEMA

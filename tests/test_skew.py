@@ -5,6 +5,7 @@ capped), and the hot groups must come out in bounded pieces."""
 from collections import defaultdict
 
 from conftest import rows
+from pyspark.sql import functions as F
 from termcluster.operators import mentions as m
 from termcluster.operators import postings as p
 from termcluster.params import LANGUAGES
@@ -43,6 +44,39 @@ def test_hot_question_groups_are_bounded_and_whole(spark):
     assert p.question_answer_pairs(df).count() == 300 + 59 * 10
 
 
+def test_hot_question_splits_in_groups(spark):
+    """A third of the answers on one question, no broadcast: AQE splits the
+    join, and the groups are read by tasks with a bounded share."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
+                "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "200000",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "100000",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false",
+                "spark.sql.shuffle.partitions": "16"}
+    old = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        n = 300_000
+        answers = spark.range(n, numPartitions=8).selectExpr(
+            "2 AS posting_type", "id", "CAST(NULL AS BIGINT) AS accepted_answer",
+            "CASE WHEN id % 3 = 0 THEN 1 ELSE 1 + id % 5000 END AS parent_id",
+            "int(id % 100) AS score", "CAST(NULL AS STRING) AS tag")
+        questions = spark.range(1, 5001).selectExpr(
+            "1 AS posting_type", "id", "CAST(NULL AS BIGINT) AS accepted_answer",
+            "CAST(NULL AS BIGINT) AS parent_id", "0 AS score", "'Java' AS tag")
+        g = p.question_answer_groups(questions.unionByName(answers), part=1024)
+        shares = g.groupBy(F.spark_partition_id().alias("task")).agg(F.sum("n").alias("n")).collect()
+        assert sum(r["n"] for r in shares) == n
+        assert max(r["n"] for r in shares) < n / 4
+        g.collect()
+        assert "skew=true" in g._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
 def test_term_in_every_document(spark):
     docs = [(i, "the " + ("Java" if i % 3 == 0 else "x")) for i in range(500)]
     df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(5)

@@ -76,9 +76,20 @@ def test_text_scan(spark, tmp_path):
 
 def test_sample_lines_is_distributed_and_seeded(spark):
     df = spark.range(1000).selectExpr("cast(id as string) as value")
-    a = post.sample_lines(df, 0.1, 0).collect()
-    b = post.sample_lines(df, 0.1, 0).collect()
-    assert a == b and 0 < len(a) < 300
+    a = sorted(post.sample_lines(df, 0.1, 0).collect())
+    b = sorted(post.sample_lines(df.repartition(7), 0.1, 0).collect())
+    assert a == b and 50 < len(a) < 170
+
+
+def test_sample_copies_follow_the_poisson_law(spark):
+    from collections import Counter
+    df = spark.range(20000).selectExpr("cast(id as string) as value")
+    copies = Counter(r["value"] for r in post.sample_lines(df, 1.5, 3).collect())
+    shares = Counter(copies.values())
+    for k, p in ((1, 0.3347), (2, 0.2510), (3, 0.1255), (4, 0.0471)):
+        assert abs(shares[k] / 20000 - p) < 0.02
+    once = [r["value"] for r in post.sample_lines(df, 0.25, 3, with_replacement=False).collect()]
+    assert len(once) == len(set(once)) and abs(len(once) / 20000 - 0.25) < 0.02
 
 
 def test_article_dump_scan(spark, tmp_path):

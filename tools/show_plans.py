@@ -18,21 +18,17 @@ from termcluster.plans.catalog import POSTING_PARAMS, QUERIES  # noqa: E402
 from termcluster.session import local_session  # noqa: E402
 from termcluster.sources import tables  # noqa: E402
 
-WIDTH = 160
-
 
 def final_plan(df) -> str:
-    df.collect()
-    text = df._jdf.queryExecution().executedPlan().toString()
-    return "\n".join(ln if len(ln) <= WIDTH else ln[:WIDTH] + " ..." for ln in text.splitlines())
+    df._jdf.queryExecution().executedPlan().execute().count()
+    return df._jdf.queryExecution().executedPlan().toString().split("+- == Initial Plan ==")[0]
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = local_session(8)
     print(f"# Physical plans\n\nFinal adaptive plans of every registered query at `{sf_dir}` "
-          f"on `local[8]` (long literal expressions cut at {WIDTH} characters). "
-          "Generated by `tools/show_plans.py`.\n")
+          "on `local[8]`. Generated by `tools/show_plans.py`.\n")
     for name, fn in QUERIES.items():
         if name == "kmeans":
             run = prepare(tables.postings(spark, sf_dir), POSTING_PARAMS)
