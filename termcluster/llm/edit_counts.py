@@ -56,6 +56,7 @@ class Counter:
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self.ranks = ranks
         self.split = regex.compile(PATTERN).findall
         self.known: dict[str, int] = {}
 
@@ -63,16 +64,16 @@ class Counter:
         if len(self.known) > CACHE:
             self.known.clear()
         new = list(set(pretokens).difference(self.known))
-        if new:
-            self.known.update(zip(new, map(len, self.encoding.encode_ordinary_batch(new, num_threads=1)), strict=True))
+        for t in new:
+            self.known[t] = 1 if t.encode() in self.ranks else len(self.encoding.encode_ordinary(t))
         return list(map(self.known.__getitem__, pretokens))
 
     def leaves(self, text: str) -> list[tuple[int, int, int]]:
         """bytes, tokens, pre-tokens of each leaf of a text."""
         pre = self.split(text)
         n = self.counts(pre)
-        size = [len(p) if p.isascii() else len(p.encode()) for p in pre]
-        return [(sum(size[k:k + LEAF]), sum(n[k:k + LEAF]), len(pre[k:k + LEAF])) for k in range(0, len(pre), LEAF)]
+        size = list(map(len, pre)) if text.isascii() else [len(p.encode()) for p in pre]
+        return [(sum(size[k:k + LEAF]), sum(n[k:k + LEAF]), len(n[k:k + LEAF])) for k in range(0, len(pre), LEAF)]
 
 
 @lru_cache(maxsize=1)
