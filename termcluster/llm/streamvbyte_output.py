@@ -35,9 +35,10 @@ from __future__ import annotations
 
 import uuid
 import zlib
+from collections import defaultdict
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import chain, compress, islice
 
 import numpy as np
 import pyarrow as pa
@@ -54,29 +55,42 @@ CACHE = 800_000
 
 
 class Store:
-    """Ids of the strings met so far: one flat array, and a place for each."""
+    """Ids of the strings met so far, in one flat array. A string that is looked
+    up gets the next place; ``add`` then says where its ids lie."""
 
     def __init__(self):
-        self.place: dict = {}
-        self.bounds = np.zeros(1, np.int64)
-        self.ids, self.used = np.zeros(1 << 16, np.int32), 0
-
-    def add(self, keys: list, ids: np.ndarray, ends: np.ndarray) -> None:
-        """ends: where the ids of each key end in ids."""
+        self.place: defaultdict = defaultdict()
+        self.place.default_factory = self.place.__len__
+        self.start, self.size = np.zeros(1 << 16, np.int64), np.zeros(1 << 16, np.int64)
+        self.ids, self.used, self.done = np.zeros(1 << 16, np.int32), 0, 0
+
+    def places(self, lists: list[list]) -> np.ndarray:
+        """Places of all strings of the lists."""
+        return np.fromiter(map(self.place.__getitem__, chain.from_iterable(lists)), np.int64, sum(map(len, lists)))
+
+    def new(self) -> list:
+        """Strings that have a place and no ids yet, by place."""
+        got = list(islice(reversed(self.place), len(self.place) - self.done))
+        got.reverse()
+        while len(self.place) > len(self.start):
+            self.start, self.size = (np.append(x, np.zeros(len(x), np.int64)) for x in (self.start, self.size))
+        return got
+
+    def add(self, places: np.ndarray, ids: np.ndarray, ends: np.ndarray) -> None:
+        """ends: where the ids of each of these places end in ids."""
         while self.used + len(ids) > len(self.ids):
             self.ids = np.append(self.ids, np.zeros(len(self.ids), np.int32))
         self.ids[self.used:self.used + len(ids)] = ids
-        first = len(self.place)
-        self.place.update(zip(keys, range(first, first + len(keys)), strict=True))
-        self.bounds = np.append(self.bounds, self.used + ends)
+        starts = np.append(0, ends)[:-1]
+        self.start[places], self.size[places] = self.used + starts, ends - starts
         self.used += len(ids)
+        self.done += len(places)
 
-    def gather(self, lists: list[list]) -> tuple[np.ndarray, np.ndarray]:
-        """Flat ids of lists of known keys, and the end of each list's ids."""
+    def gather(self, flat: np.ndarray, lists: list[list]) -> tuple[np.ndarray, np.ndarray]:
+        """Flat ids of the lists' places, and the end of each list's ids."""
         count = np.cumsum([len(x) for x in lists], dtype=np.int64)
-        flat = np.fromiter(map(self.place.__getitem__, chain.from_iterable(lists)), np.int64, int(count[-1]) if len(count) else 0)
-        size = self.bounds[flat + 1] - self.bounds[flat]
-        return self.ids[runs(self.bounds[flat], size)], np.append(0, np.cumsum(size))[count]
+        size = self.size[flat]
+        return self.ids[runs(self.start[flat], size)], np.append(0, np.cumsum(size))[count]
 
 
 class PieceEncoder:
@@ -113,20 +127,22 @@ class PieceEncoder:
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def add_ascii(self, pieces: list[bytes]) -> None:
+    def add_ascii(self, places: np.ndarray, pieces: list[bytes]) -> None:
         split = [self.words(p.decode()) for p in pieces]
-        new = list(set(chain.from_iterable(split)).difference(self.known.place))
+        flat = self.known.places(split)
+        new = self.known.new()
         if new:
             ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, np.int32)
-            self.known.add(new, ids, np.flatnonzero(self.ends_word[ids]) + 1)
-        self.pieces.add(pieces, *self.known.gather(split))
+            first = self.known.done
+            self.known.add(np.arange(first, first + len(new)), ids, np.flatnonzero(self.ends_word[ids]) + 1)
+        self.pieces.add(places, *self.known.gather(flat, split))
 
-    def add_other(self, pieces: list[bytes]) -> None:
+    def add_other(self, places: np.ndarray, pieces: list[bytes]) -> None:
         texts = [p.decode() for p in pieces]
         got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
         ends = np.cumsum([len(t) + 1 for t in texts])
         first = np.array([a for a, _ in got.offsets], np.int64)
-        self.pieces.add(pieces, np.array(got.ids, np.int32), np.searchsorted(first, ends))
+        self.pieces.add(places, np.array(got.ids, np.int32), np.searchsorted(first, ends))
 
     def by_piece(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids and their end for each text; ASCII letters are lowered here
@@ -136,13 +152,15 @@ class PieceEncoder:
         if len(self.known.place) > CACHE:
             self.known = Store()
         split = [t.lower().split() for t in texts]
-        new = list(set(chain.from_iterable(split)).difference(self.pieces.place))
-        ascii_, other = [p for p in new if p.isascii()], [p for p in new if not p.isascii()]
-        if ascii_:
-            self.add_ascii(ascii_)
-        if other:
-            self.add_other(other)
-        return self.pieces.gather(split)
+        first = self.pieces.done
+        flat = self.pieces.places(split)
+        new = self.pieces.new()
+        if new:
+            plain = np.fromiter(map(bytes.isascii, new), bool, len(new))
+            for chosen, add in ((plain, self.add_ascii), (~plain, self.add_other)):
+                if chosen.any():
+                    add(first + np.flatnonzero(chosen), list(compress(new, chosen.tolist())))
+        return self.pieces.gather(flat, split)
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Flat ids of all texts, and the bounds of each."""
