@@ -11,8 +11,9 @@ each in units of a spread below which differences don't matter (``UNITS``). For
 every (language, source) the minimum covariance determinant gives their centre
 and scatter: starting from two estimates (all rows; all rows, unit scatter), each
 step takes the share ``CORE`` of the rows with the smallest Mahalanobis distances
-and estimates anew, until nothing changes or ``STEPS`` are done; the smaller
-determinant wins. One
+and estimates anew, until the estimates repeat; the smaller determinant wins.
+Whole bins and the added variance allow estimates that repeat in a cycle: of a
+cycle, the smallest determinant counts. One
 unit of variance is added, so that constant statistics do no harm. A document
 whose squared distance exceeds ``LIMIT`` is rejected.
 
@@ -24,7 +25,8 @@ bin that holds the last wanted row counts whole.
 
 Scale: the statistics (some 100 bytes per document) are computed once, without a
 shuffle, and written to the shared folder; steps run on them. Estimates are a
-row per group and start; Spark broadcasts them if they are small.
+row per group and start; Spark broadcasts them if they are small. A group and
+start whose estimates repeat takes no part in later steps.
 
 Defined cases: null or empty texts have no words and fail the base rules; null
 languages and sources form groups of their own; repeated rows count as often as
@@ -47,11 +49,16 @@ CONSISTENT = 1.486
 LIMIT = 23.51
 GRID = 1024
 BINS, BINS_PER_DOUBLING = 1024, 32
-STEPS = 6
+#: A guard that raises: every step leads to one of finitely many cores, so estimates repeat long before.
+STEPS = 1000
 #: Tasks that hold the estimates, a row per group and start.
 GROUP_TASKS = 16
 Z = ("z1", "z2", "z3", "z4")
 PAIRS = [(i, j) for i in range(4) for j in range(i + 1)]
+ESTIMATES = ["det", *(f"m{i}" for i in range(4)), *(f"l{i}{j}" for i, j in PAIRS)]
+KEYS = ["glang", "gsource", "start", "n"]
+#: Products are summed in two halves, the lower of so many bits: sums of longs stay exact up to 2**40 rows.
+LOW_BITS = 20
 
 
 def text_statistics(docs: DataFrame, text: str) -> DataFrame:
@@ -93,8 +100,10 @@ def vectors() -> list[Column]:
 def estimates(sums: DataFrame, unit: Column) -> DataFrame:
     """Centre (m1..m4), Cholesky factor (l11, l21, l22, ...) of the scatter and
     its log determinant, from the sums of a group; unit: unit scatter only."""
+    exact = "decimal(20,0)"
+    product = {(i, j): F.col(f"h{i}{j}").cast(exact) * F.lit(1 << LOW_BITS).cast("decimal(8,0)") + F.col(f"p{i}{j}").cast(exact) for i, j in PAIRS}
     mean = [F.col(f"s{i}").cast("double") / F.col("k") / GRID for i in range(4)]
-    cov = {(i, j): F.when(unit, 0.0).otherwise(CONSISTENT * (F.col(f"p{i}{j}").cast("double") / F.col("k") / (GRID * GRID) - mean[i] * mean[j])) + float(i == j) for i, j in PAIRS}
+    cov = {(i, j): F.when(unit, 0.0).otherwise(CONSISTENT * (product[i, j].cast("double") / F.col("k") / (GRID * GRID) - mean[i] * mean[j])) + float(i == j) for i, j in PAIRS}
     out = sums.select("glang", "gsource", "start", "n", *(m.alias(f"m{i}") for i, m in enumerate(mean)), *(c.alias(f"c{i}{j}") for (i, j), c in cov.items()))
     for i, j in PAIRS:
         rest = F.col(f"c{i}{j}")
@@ -121,31 +130,57 @@ def same_group() -> Column:
 
 
 def moment_sums() -> list[Column]:
-    exact = "decimal(20,0)"
-    return [F.count("*").alias("k"), *(F.sum(F.col(z).cast(exact)).alias(f"s{i}") for i, z in enumerate(Z)),
-            *(F.sum((F.col(Z[i]) * F.col(Z[j])).cast(exact)).alias(f"p{i}{j}") for i, j in PAIRS)]
+    product = {(i, j): F.col(Z[i]) * F.col(Z[j]) for i, j in PAIRS}
+    return [F.count("*").alias("k"), *(F.sum(z).alias(f"s{i}") for i, z in enumerate(Z)),
+            *(F.sum(F.shiftright(p, LOW_BITS)).alias(f"h{i}{j}") for (i, j), p in product.items()),
+            *(F.sum(p.bitwiseAND((1 << LOW_BITS) - 1)).alias(f"p{i}{j}") for (i, j), p in product.items())]
 
 
-def covariance_determinants(stats: DataFrame) -> DataFrame:
-    """Estimates of each (lang, source) from rows with the columns z1..z4."""
-    names = ["k", *(f"s{i}" for i in range(4)), *(f"p{i}{j}" for i, j in PAIRS)]
+def concentration_step(stats: DataFrame, now: DataFrame) -> DataFrame:
+    """Estimates from the rows nearest to those of now."""
+    names = ["k", *(f"s{i}" for i in range(4)), *(f"{c}{i}{j}" for c in "hp" for i, j in PAIRS)]
+    near = stats.join(now, same_group()).withColumn("bin", F.least(F.lit(BINS - 1), F.floor(BINS_PER_DOUBLING * F.log2(1 + distance()))).cast("int"))
+    bins = near.groupBy(*KEYS, "bin").agg(*moment_sums())
+    nearer = F.sum("k").over(Window.partitionBy("glang", "gsource", "start").orderBy("bin")) - F.col("k")
+    core = bins.withColumn("nearer", nearer).filter(F.col("nearer") < F.ceil(CORE * F.col("n")))
+    return estimates(core.groupBy(*KEYS).agg(*(F.sum(c).alias(c) for c in names)), F.lit(False))
+
+
+def concentrated(stats: DataFrame) -> DataFrame:
+    """The final estimates (best) of each group and start, and the steps taken.
+
+    The state after each step of 1, 2, 4, ... is kept as seen: a later one equal
+    to it closes a cycle, and best is the least since then."""
+    def small(df: DataFrame) -> DataFrame:
+        return scratch(df.coalesce(GROUP_TASKS), "mcd", compression="none")
+
     whole = stats.groupBy(F.col("lang").alias("glang"), F.col("source").alias("gsource")).agg(*moment_sums())
     whole = whole.withColumn("n", F.col("k")).withColumn("start", F.explode(F.array(F.lit(0), F.lit(1))))
-    now = scratch(estimates(whole, F.col("start") == 1).coalesce(GROUP_TASKS), "mcd")
-    before = None
-    for _ in range(STEPS):
-        near = stats.join(now, same_group()).withColumn("bin", F.least(F.lit(BINS - 1), F.floor(BINS_PER_DOUBLING * F.log2(1 + distance()))).cast("int"))
-        bins = near.groupBy("glang", "gsource", "start", "n", "bin").agg(*moment_sums())
-        nearer = F.sum("k").over(Window.partitionBy("glang", "gsource", "start").orderBy("bin")) - F.col("k")
-        core = bins.withColumn("nearer", nearer).filter(F.col("nearer") < F.ceil(CORE * F.col("n")))
-        core = core.groupBy("glang", "gsource", "start", "n").agg(*(F.sum(c).alias(c) for c in names))
-        now = scratch(estimates(core, F.lit(False)).coalesce(GROUP_TASKS), "mcd")
-        state = now.agg(F.sum(F.xxhash64(*now.columns).cast("decimal(38,0)"))).first()[0]
-        if state == before:
-            break
-        before = state
-    best = now.groupBy("glang", "gsource").agg(F.min(F.struct("det", "start", *(c for c in now.columns if c not in ("glang", "gsource", "det", "start")))).alias("e"))
-    return scratch(best.select("glang", "gsource", "e.*").drop("start", "n", "det").coalesce(GROUP_TASKS), "mcd")
+    est = F.struct(*ESTIMATES)
+    now = small(estimates(whole, F.col("start") == 1).select(*KEYS, est.alias("est"), est.alias("seen"), est.alias("best"), F.lit(0).alias("steps"), F.lit(False).alias("done")))
+    moving = now.count()
+    for step in range(1, STEPS + 1):
+        if not moving:
+            return now.select(*KEYS, "best", "steps")
+        going = now.filter("not done")
+        to = concentration_step(stats, going.select(*KEYS, "est.*")).select(*(F.col(c).alias(f"to_{c}") for c in KEYS), est.alias("to"))
+        same = F.col("start") == F.col("to_start")
+        for c in ("glang", "gsource"):
+            same = same & F.col(c).eqNullSafe(F.col(f"to_{c}"))
+        moved = going.join(to, same).withColumn("stays", F.col("to") == F.col("est")).withColumn("done", F.col("stays") | (F.col("to") == F.col("seen")))
+        moved = moved.withColumn("best", F.when(F.col("stays"), F.col("to")).otherwise(F.least("best", "to")))
+        if step & (step - 1) == 0:
+            moved = moved.select(*KEYS, "to", "done", *(F.when(F.col("done"), F.col(c)).otherwise(F.col("to")).alias(c) for c in ("seen", "best")))
+        moved = moved.select(*KEYS, F.col("to").alias("est"), "seen", "best", F.lit(step).alias("steps"), "done")
+        now = small(moved.union(now.filter("done")))
+        moving = now.filter("not done").count()
+    raise RuntimeError(f"the estimates of {moving} groups and starts don't repeat within {STEPS} concentration steps")
+
+
+def covariance_determinants(stats: DataFrame) -> DataFrame:
+    """Estimates of each (lang, source) from rows with the columns z1..z4."""
+    best = concentrated(stats).select(*KEYS, "best.*").groupBy("glang", "gsource").agg(F.min(F.struct("det", "start", *ESTIMATES[1:])).alias("e"))
+    return scratch(best.select("glang", "gsource", "e.*").drop("start", "det").coalesce(GROUP_TASKS), "mcd", compression="none")
 
 
 def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", source_col: str = "source", keep_row: bool = False) -> DataFrame:

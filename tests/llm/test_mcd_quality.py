@@ -92,3 +92,49 @@ def test_empty_table_one_row_repeats_and_clashing_names(spark):
     got = m.quality_rules(df, keep_row=True).collect()
     assert sorted((str(r.id), r.kept, r.base_failed) for r in got) == [("1", True, False), ("1", True, False), ("2", False, True), ("3", False, True), ("None", True, False)]
     assert all(r.row.z1 == "clash" for r in got)
+
+
+def ridge(n, width, seed):
+    """Vectors along a line, with noise: steps move their core slowly, or in a cycle."""
+    r = random.Random(seed)
+    out = []
+    for _ in range(n):
+        t = r.random() * width
+        out.append([round((t * w + r.gauss(0, 0.3)) * m.GRID) for w in (1, 0.7, 0.2, 0.1)])
+    return out
+
+
+def brute_estimates(vectors, start):
+    """The states (determinant, centre) up to the first that occurs again, and where it did."""
+    x = np.array(vectors) / m.GRID
+    core, states, seen = np.ones(len(x), bool), [], {}
+    while True:
+        y = x[core]
+        centre, scatter = y.mean(0), m.CONSISTENT * (y.T @ y / len(y) - np.outer(y.mean(0), y.mean(0))) + np.eye(4)
+        if states == [] and start == 1:
+            scatter = np.eye(4)
+        elif core.tobytes() in seen:
+            return states, seen[core.tobytes()]
+        else:
+            seen[core.tobytes()] = len(states)
+        states.append((np.linalg.slogdet(scatter)[1] / 2, *centre))
+        d = np.einsum("ij,jk,ik->i", x - centre, np.linalg.inv(scatter), x - centre)
+        bins = np.minimum(m.BINS - 1, np.floor(m.BINS_PER_DOUBLING * np.log2(1 + d)))
+        core = bins <= np.sort(bins)[math.ceil(m.CORE * len(x)) - 1]
+
+
+def test_steps_go_on_until_estimates_repeat(spark):
+    groups = {"slow": ridge(400, 30, 1), "cycle": ridge(400, 12, 2), "fast": ridge(400, 12, 1)}
+    rows = [(g, "s", *v) for g, vs in groups.items() for v in vs]
+    stats = spark.createDataFrame(rows, "lang string, source string, z1 long, z2 long, z3 long, z4 long")
+    got = {(r.glang, r.start): r for r in m.concentrated(stats).collect()}
+    late, cycles = set(), set()
+    for g, vs in groups.items():
+        for start in (0, 1):
+            states, first = brute_estimates(vs, start)
+            want = min(states[first:])
+            e = got[g, start].best
+            assert np.allclose((e.det, e.m0, e.m1, e.m2, e.m3), want, rtol=1e-9, atol=1e-9)
+            late |= {g} if first > 8 else set()
+            cycles |= {g} if len(states) - first > 1 else set()
+    assert "slow" in late and cycles == {"cycle"}
