@@ -44,11 +44,11 @@ MATCH = "struct<item:string,start:int,length:int>"
 
 class Suffixes:
     """Test suffixes of one block: the first ``length`` words of each, sorted,
-    equal ones once, with the items that they come from."""
+    equal ones once, with the items and the places in them that they come from."""
 
     def __init__(self, items: list[tuple[str | None, str | None]], window: int):
         column = pa.array([t for _, t in items], pa.string())
-        names, rows, length = [], [], []
+        rows, length, of_item, places = [], [], [], []
         for texts in text_slices(column):
             w = words(texts, LETTER_WORD, lower=True)
             size = np.diff(w.bounds)
@@ -61,7 +61,8 @@ class Suffixes:
             row[np.arange(window) >= n[:, None]] = 0
             rows.append(row)
             length.append(n)
-            names += [items[texts.first + i][0] for i in item]
+            of_item.append(texts.first + item)
+            places.append(start - w.bounds[:-1][item])
         row = np.concatenate(rows) if rows else np.zeros((0, window), U)
         n = np.concatenate(length) if length else np.zeros(0, np.int64)
         order = np.lexsort(row.T[::-1])
@@ -71,10 +72,14 @@ class Suffixes:
         self.words, self.length = row[new], n[new]
         self.vocabulary = np.unique(row[row != 0])
         self.shortest = int(n.min()) if len(n) else 0
-        of = np.cumsum(new) - 1
-        self.items: list[set] = [set() for _ in range(len(self.length))]
-        for k, i in zip(of, order, strict=True):
-            self.items[k].add(names[i])
+        self.names = [name for name, _ in items]
+        self.bounds = np.append(np.flatnonzero(new), len(new))
+        self.item, self.place = (np.concatenate(x)[order] if x else np.zeros(0, np.int64) for x in (of_item, places))
+
+    def origins(self, suffix: int) -> tuple[list[int], list[int]]:
+        """Items (by their place in the block) of a test suffix, and its places in them."""
+        mine = slice(self.bounds[suffix], self.bounds[suffix + 1])
+        return self.item[mine].tolist(), self.place[mine].tolist()
 
 
 def suffix_array(word: np.ndarray, bounds: np.ndarray, tests: Suffixes, window: int) -> tuple[np.ndarray, np.ndarray]:
@@ -140,18 +145,39 @@ def covered(text: np.ndarray, start: np.ndarray, length: np.ndarray, n_words: np
     return hit[bounds[1:]] - hit[bounds[:-1]]
 
 
-def longest_matches(items: list[set], start: np.ndarray, length: np.ndarray, suffix: np.ndarray) -> list[dict]:
-    """Verbatim matches of one document: windows of an item at adjacent words
-    are joined while they overlap in the same item."""
-    out: dict[str, list[dict]] = {}
+def longest_matches(tests: Suffixes, start: np.ndarray, length: np.ndarray, suffix: np.ndarray) -> list[dict]:
+    """Longest verbatim matches of one document: windows are joined while they
+    advance by one word in the document and in the item. Matches within a longer
+    one of the same item are left out."""
+    runs_of: dict[int, tuple[int, int, dict[int, int]]] = {}  # item: last start, length, place there -> start of the match
+    spans: dict[str | None, set] = {}
+
+    def ended(item: int, going: dict[int, int]) -> None:
+        last, size, run = runs_of[item]
+        first = min((s for p, s in run.items() if p + 1 not in going), default=None)
+        if first is not None:
+            spans.setdefault(tests.names[item], set()).add((first, last + size))
+
     for k in np.argsort(start, kind="stable"):
-        for item in items[suffix[k]]:
-            got = out.setdefault(item, [])
-            if got and got[-1]["start"] + got[-1]["length"] >= start[k] + 1:
-                got[-1]["length"] = int(max(got[-1]["length"], start[k] + length[k] - got[-1]["start"]))
-            else:
-                got.append({"item": item, "start": int(start[k]), "length": int(length[k])})
-    return [m for k in sorted(out, key=lambda x: x or "") for m in out[k]]
+        s, n = int(start[k]), int(length[k])
+        now: dict[int, dict[int, int]] = {}
+        for item, place in zip(*tests.origins(suffix[k]), strict=True):
+            last, _, run = runs_of.get(item, (None, 0, {}))
+            now.setdefault(item, {})[place] = run.get(place - 1, s) if last == s - 1 else s
+        for item, going in now.items():
+            if item in runs_of:
+                ended(item, going if runs_of[item][0] == s - 1 else {})
+            runs_of[item] = s, n, going
+    for item in list(runs_of):
+        ended(item, {})
+    out = []
+    for name in sorted(spans, key=lambda x: x or ""):
+        reached = 0
+        for first, end in sorted(spans[name], key=lambda x: (x[0], -x[1])):
+            if end > reached:
+                out.append({"item": name, "start": first, "length": end - first})
+                reached = end
+    return out
 
 
 def hit_rows(block, window: int, with_row: bool):
@@ -169,8 +195,8 @@ def hit_rows(block, window: int, with_row: bool):
                 ends = np.searchsorted(text[order], np.arange(len(texts) + 1))
                 for i in range(len(texts)):
                     mine = order[ends[i]:ends[i + 1]]
-                    found.append(sorted(set().union(*(tests.items[k] for k in np.unique(suffix[mine]))) - {None}) if len(mine) else [])
-                    spans.append(longest_matches(tests.items, start[mine], length[mine], suffix[mine]) if len(mine) else [])
+                    found.append(sorted({tests.names[i] for k in np.unique(suffix[mine]) for i in tests.origins(k)[0]} - {None}) if len(mine) else [])
+                    spans.append(longest_matches(tests, start[mine], length[mine], suffix[mine]) if len(mine) else [])
             out = {"id": b.column("id"), "n_words": np.concatenate(n_words), "n_hit": np.concatenate(n_hit),
                    "items": pa.array(found, pa.list_(pa.string())),
                    "matches": pa.array(spans, pa.list_(pa.struct([("item", pa.string()), ("start", pa.int32()), ("length", pa.int32())])))}

@@ -50,3 +50,32 @@ def test_empty_tables(spark):
     assert decontaminate(frame(spark, []), items).collect() == []
     got = decontaminate(frame(spark, [(1, "a b c"), (2, None)]), items.limit(0)).collect()
     assert sorted((r.id, r.n_words, r.n_hit, r.contaminated) for r in got) == [(1, 3, 0, False), (2, 0, 0, False)]
+
+
+def brute_matches(text, items, size=13):
+    """Spans of every item that are verbatim in it, at least a window long, and in no longer one."""
+    w, out = letter_words(text), set()
+    for item, t in items:
+        v = letter_words(t)
+        least, spans = min(size, len(v)), set()
+        for a in range(len(w)):
+            for b in range(len(v) if v else 0):
+                n = 0
+                while a + n < len(w) and b + n < len(v) and w[a + n] == v[b + n]:
+                    n += 1
+                if n >= least:
+                    spans.add((a, a + n))
+        out |= {(str(item), a, b - a) for a, b in spans if not any(c <= a and b <= d and (a, b) != (c, d) for c, d in spans)}
+    return sorted(out)
+
+
+@pytest.mark.parametrize("block_bytes", [1 << 20, 1])
+def test_matches_are_verbatim(spark, block_bytes):
+    far = [f"w{i}" for i in range(40)]
+    items = [(1, "a b a"), (2, " ".join(far)), (3, "c " * 20), (4, " ".join(far[:20] + far[10:30]))]
+    rows = [(1, "a b a b a"), (2, " ".join(far[20:36] + far[30:36] + far[:16])), (3, "c " * 24), (4, " ".join(far[:18] + far[5:25])), (5, "x " + " ".join(far[10:20] * 3)),
+            (6, " ".join(far[:20] + far[8:30]))]
+    got = decontaminate(frame(spark, rows), spark.createDataFrame(items, ITEMS), block_bytes=block_bytes).collect()
+    for r in got:
+        assert sorted((m.item, m.start, m.length) for m in r.matches) == brute_matches(dict(rows)[r.id], items)
+    assert {tuple(m) for r in got if r.id == 1 for m in r.matches} == {("1", 0, 3), ("1", 2, 3)}
