@@ -30,9 +30,10 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of linked documents, the one with the smallest id."""
+    """Of each group of linked documents, the one with the smallest id; of rows
+    that share this id, one."""
     import_in_workers(spark)
-    return component_survivors(docs)
+    return component_survivors(docs, one_per_id=True)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

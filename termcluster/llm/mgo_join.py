@@ -302,9 +302,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     return (doc.join(known, "id", "left").select("id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")))
 
 
-def component_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
+def component_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", one_per_id: bool = False, **options) -> DataFrame:
     """Documents of which one per component stays: the one with the smallest
-    id. Rows without an id stay; of rows that share an id, one stays."""
+    id. Rows without an id stay; rows that share an id all stay, or with
+    one_per_id the one with the smallest text (then the smallest row hash)."""
     found = jaccard_components(docs, id_col, text_col, **options)
-    stay = found.filter("id = component_id").select(F.col("id").alias(id_col)).distinct()
-    return docs.join(stay, id_col, "left_semi").union(docs.filter(F.col(id_col).isNull()))
+    stay = found.filter("id = component_id").groupBy(F.col("id").alias(id_col)).agg(F.count("*").alias("k"))
+    no_id = docs.filter(F.col(id_col).isNull())
+    if not one_per_id:
+        return docs.join(stay.select(id_col), id_col, "left_semi").union(no_id)
+    stay = scratch(stay, "stay")
+    repeated = scratch(stay.filter("k > 1").select(id_col), "repeated")
+    alone = docs.join(stay.filter("k = 1").select(id_col), id_col, "left_semi")
+    order = F.struct(F.col(text_col), F.xxhash64(F.to_json(F.struct("*"))))
+    ranked = docs.join(repeated, id_col, "left_semi").select(F.col(id_col).alias("id"), F.struct("*").alias("row"), order.alias("order"))
+    return alone.union(ranked.groupBy("id").agg(F.min_by("row", "order").alias("row")).select("row.*")).union(no_id)

@@ -58,3 +58,10 @@ def test_run_gives_the_last_stage(spark, folder):
     d, texts = folder
     got = corpus_pipeline.run(spark, d).collect()
     assert 0 < len(got) < len(texts) and all(r.round_trip for r in got)
+
+
+def test_join_stage_keeps_one_row_per_id(spark, folder):
+    d, _ = folder
+    docs = frame(spark, [(1, "one text that is there twice")] * 2 + [(2, "another text of the table")])
+    got = dict(corpus_pipeline.STAGES)["ngram_jaccard_join"](spark, docs, d)
+    assert got.columns == docs.columns and sorted(r.doc_id for r in got.collect()) == [1, 2]

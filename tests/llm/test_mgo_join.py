@@ -52,3 +52,12 @@ def test_components_of_a_chain_and_a_star(spark):
     links = [(i, i + 1) for i in range(30)] + [(100, 100 + k) for k in range(1, 40)] + [(7, 7)]
     got = {r.node: r.label for r in components(spark.createDataFrame(links, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(31)} | {100 + k: 100 for k in range(40)}
+
+
+def test_one_row_per_id(spark):
+    text, other = "a b c d e f g h", "b other words under the same id here"
+    rows = [(None, text), (None, text), (2, text), (2, text), (3, text), (4, None), (4, None), (5, ""), (7, other), (7, "k l m n o p q"), (8, "not repeated at all")] + [(9, "hot id text")] * 50
+    want = [(2, text), (4, None), (5, ""), (7, other), (8, "not repeated at all"), (9, "hot id text"), (None, text), (None, text)]
+    for parts in (1, 4):
+        got = component_survivors(frame(spark, rows, parts), one_per_id=True).collect()
+        assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
