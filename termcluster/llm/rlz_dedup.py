@@ -1,4 +1,4 @@
-"""Substring dedup by relative Lempel-Ziv parsing.
+"""Substring dedup against reference blocks, with relative Lempel-Ziv factors.
 
 A passage is a duplicate if the words of a ``window`` also start in a document
 with a smaller id. Documents are cut into content-defined reference blocks
@@ -6,7 +6,9 @@ with a smaller id. Documents are cut into content-defined reference blocks
 holds it. A document is then factored greedily against all indexed blocks: a
 factor is the longest run of consecutive blocks that one earlier document
 holds. Blocks are at least ``window`` words long, so every factor is long
-enough to be a duplicate span.
+enough to be a duplicate span. Factors describe the spans (column
+``factors``); the removed words are the union of the equal blocks and windows
+that the joins find, not the outcome of the parse.
 
 Factors end where a block differs from the indexed ones of the same anchor,
 and only there can a duplicate window straddle a factor boundary. Those blocks
