@@ -5,6 +5,7 @@ import pyarrow as pa
 from pyspark.sql import functions as F
 
 from tests.llm.brute import frame
+from termcluster.llm import chain_toxicity
 from termcluster.llm.chain_toxicity import CATEGORIES, derived, fit, fit_chain, hashed, logit, score
 from termcluster.llm.training_sample import held_out, labelled_sample
 
@@ -73,3 +74,25 @@ def test_sample_is_bounded(spark):
     docs, table = frame(spark, rows), spark.createDataFrame(labels, LABELS)
     texts, share = labelled_sample(docs, table, "doc_id", "text", "toxic", 7, 2000)
     assert len(texts[0]) <= 7 and all(sum(len(t) for _, t in x) <= 2000 for x in texts.values()) and 0.1 < share < 0.3
+
+
+def test_training_takes_three_thousand_texts_a_class(spark):
+    rows = [(i, f"text number {i}") for i in range(10000)]
+    labels = spark.createDataFrame([(i, 1, i % 2) for i, _ in rows], LABELS)
+    texts, _ = labelled_sample(frame(spark, rows), labels, "doc_id", "text", "toxic", chain_toxicity.PER_CLASS, chain_toxicity.SAMPLE_BYTES)
+    assert [len(texts[y]) for y in (0, 1)] == [3000, 3000] and chain_toxicity.SAMPLE_BYTES == 24 << 20
+
+
+def test_telling_features_equal_plain_counts():
+    rows, labels = labelled(6, 200)
+    hashes, toxic = [h for h, _ in hashed(pa.array([t for _, t in rows]))], np.array([x for _, _, x in labels])
+    n, n_1 = len(toxic), toxic.sum()
+    gain = {}
+    for v in set(np.concatenate(hashes).tolist()):
+        has = np.array([v in h for h in hashes])
+        cells = [((has & (toxic == y)).sum(), has.sum() * k / n, ((~has) & (toxic == y)).sum(), (~has).sum() * k / n) for y, k in ((1, n_1), (0, n - n_1))]
+        g = sum(a * np.log(a / b) for c in cells for a, b in (c[:2], c[2:]) if a)
+        if has.sum() >= chain_toxicity.MARKER_TEXTS and g >= chain_toxicity.LEAST_GAIN:
+            gain[v] = g
+    assert 0 < len(gain) <= chain_toxicity.FEATURES
+    assert chain_toxicity.telling(hashes, toxic).tolist() == sorted(gain)
