@@ -13,11 +13,13 @@ from termcluster.llm.edit_counts import edited_counts, line_edits
 from termcluster.llm.mcd_quality import quality_rules
 from termcluster.llm.mgo_join import jaccard_components
 from termcluster.llm.rlz_dedup import substring_dedup
+from termcluster.llm.rns_negatives import hard_negatives
 from termcluster.llm.sais_dedup import byte_dedup
 from termcluster.llm.shared import import_in_workers
 from termcluster.llm.streamvbyte_output import token_id_round_trip
 from termcluster.llm.suffix_decontamination import decontaminate, items_digest
 from termcluster.llm.training_sample import held_out
+from termcluster.llm.warc_members import warc_round_trip
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -83,6 +85,17 @@ def op10_bpe_merge_rounds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe_round_trip(table(spark, sf_dir, "documents"), tokenizer_path("byte_bpe_50k.json"), with_ids=False).withColumnRenamed("id", "doc_id")
 
 
+def op11_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op13_rns_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every seventh row carries a wrong label, by rule, as label noise."""
+    rows = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(rows.select("vec_id", "embedding", label.alias("label")), "id % 100 = 0")
+
+
 QUERIES = {
     "op1_mgo_jaccard_join": op1_mgo_jaccard_join,
     "op2_rlz_substring_dedup": op2_rlz_substring_dedup,
@@ -94,10 +107,14 @@ QUERIES = {
     "op8_suffix_decontamination": op8_suffix_decontamination,
     "op9_zstd_quality_classifier": op9_zstd_quality_classifier,
     "op10_bpe_merge_rounds": op10_bpe_merge_rounds,
+    "op11_warc_members": op11_warc_members,
+    "op13_rns_negatives": op13_rns_negatives,
 }
 
 ORACLE = {
     "op1_mgo_jaccard_join": oracle.JACCARD_COMPONENTS,
     "op2_rlz_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op8_suffix_decontamination": oracle.DECONTAMINATION,
+    "op11_warc_members": oracle.WARC_RECORDS,
+    "op13_rns_negatives": oracle.HARD_NEGATIVES,
 }

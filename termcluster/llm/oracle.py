@@ -64,3 +64,35 @@ SELECT w.doc_id, len(ws)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit
        sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN words_hit USING (doc_id) LEFT JOIN items USING (doc_id)
 """
+
+# Base32 of the 20 digest bytes: 32 groups of 5 bits, read from the bits as text.
+WARC_RECORDS = r"""
+WITH p AS (
+  SELECT page_id, coalesce(html, '') AS payload, min(page_id) OVER (PARTITION BY coalesce(html, '')) AS first_id FROM pages),
+d AS (SELECT *, sha1(payload) AS hex FROM p),
+b AS (SELECT *, array_to_string(list_transform(range(1, 41), lambda i: right(bin(('0x' || hex[i])::INTEGER + 16), 4)), '') AS bits FROM d)
+SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes,
+       array_to_string(list_transform(range(0, 32), lambda i: 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[1 + list_sum(list_transform(range(0, 5), lambda j: (bits[5 * i + j + 1])::INTEGER * (16 >> j)::INTEGER))::INTEGER]), '') AS payload_digest,
+       CASE WHEN page_id IS NOT DISTINCT FROM first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first_id THEN first_id END AS refers_to
+FROM b
+"""
+
+HARD_NEGATIVES = r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS c
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = len(embedding)),
+s AS (
+  SELECT a.vec_id AS anchor_id, r.vec_id AS row_id, a.label = r.label AS same, list_inner_product(a.c, r.c)::BIGINT AS score
+  FROM v a JOIN v r ON a.vec_id <> r.vec_id WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, row_id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, row_id) <= 5),
+n AS (
+  SELECT p.anchor_id, positive_id, row_id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, row_id) AS rank
+  FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
+SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
+"""
