@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from termcluster.llm import chain_toxicity, oracle, zstd_quality
 from termcluster.llm.bpe_rounds import bpe_round_trip
+from termcluster.llm.collocations import collocations
 from termcluster.llm.edit_counts import edited_counts, line_edits
 from termcluster.llm.mcd_quality import quality_rules
 from termcluster.llm.mgo_join import jaccard_components
@@ -89,6 +90,10 @@ def op11_warc_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_misra_gries_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents"))
+
+
 def op13_rns_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every seventh row carries a wrong label, by rule, as label noise."""
     rows = table(spark, sf_dir, "embeddings")
@@ -108,6 +113,7 @@ QUERIES = {
     "op9_zstd_quality_classifier": op9_zstd_quality_classifier,
     "op10_bpe_merge_rounds": op10_bpe_merge_rounds,
     "op11_warc_members": op11_warc_members,
+    "op12_misra_gries_collocations": op12_misra_gries_collocations,
     "op13_rns_negatives": op13_rns_negatives,
 }
 
@@ -116,5 +122,6 @@ ORACLE = {
     "op2_rlz_substring_dedup": oracle.SUBSTRING_DEDUP,
     "op8_suffix_decontamination": oracle.DECONTAMINATION,
     "op11_warc_members": oracle.WARC_RECORDS,
+    "op12_misra_gries_collocations": oracle.COLLOCATIONS,
     "op13_rns_negatives": oracle.HARD_NEGATIVES,
 }

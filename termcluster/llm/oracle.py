@@ -96,3 +96,33 @@ n AS (
   FROM p JOIN s ON s.anchor_id = p.anchor_id AND NOT same AND 80 * positive_score <= 100 * score AND score <= positive_score)
 SELECT anchor_id, positive_id, rank::INTEGER AS rank, negative_id, positive_score, negative_score FROM n WHERE rank <= 5
 """
+
+COLLOCATIONS = r"""
+WITH p AS (
+  SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS ws
+  FROM (SELECT coalesce(lang, 'und') AS lang,
+               unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+        FROM documents)),
+f AS (
+  SELECT lang, words, phrase, count(*)::BIGINT AS f
+  FROM (SELECT lang, words, array_to_string(ws[i:i + words - 1], ' ') AS phrase
+        FROM (SELECT lang, ws, words, unnest(range(1, len(ws) - words + 2)) AS i FROM p, (SELECT unnest([1, 2, 3]) AS words)))
+  GROUP BY ALL),
+n AS (SELECT lang, sum(f)::BIGINT AS n FROM f WHERE words = 1 GROUP BY lang),
+cand AS (SELECT lang, words, phrase, string_split(phrase, ' ') AS w, f AS a FROM f WHERE words > 1 AND f >= 10),
+cuts AS (
+  SELECT lang, phrase, a, k, array_to_string(w[1:k], ' ') AS head, array_to_string(w[k + 1:], ' ') AS tail
+  FROM (SELECT *, unnest(range(1, words)) AS k FROM cand)),
+scored AS (
+  SELECT c.lang, c.phrase, c.a, h.f AS l, t.f AS r, (1000000::HUGEINT * c.a * c.a // (h.f::HUGEINT * t.f))::BIGINT AS score
+  FROM cuts c JOIN f h ON h.lang = c.lang AND h.phrase = c.head JOIN f t ON t.lang = c.lang AND t.phrase = c.tail
+  QUALIFY row_number() OVER (PARTITION BY c.lang, c.phrase ORDER BY 1000000::HUGEINT * c.a * c.a // (h.f::HUGEINT * t.f), k) = 1),
+held AS (
+  SELECT lang, phrase, max(a) AS longer
+  FROM (SELECT lang, a, unnest([array_to_string(w[1:2], ' '), array_to_string(w[2:3], ' ')]) AS phrase FROM cand WHERE words = 3)
+  GROUP BY lang, phrase),
+ranked AS (
+  SELECT s.*, row_number() OVER (PARTITION BY s.lang ORDER BY score DESC, a DESC, s.phrase) AS rank
+  FROM scored s LEFT JOIN held USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, rank::BIGINT AS rank, phrase, a, l, r, n, score FROM ranked JOIN n USING (lang) WHERE rank <= 2000
+"""
