@@ -58,9 +58,10 @@ SCORE_UNIT = 1_000_000
 PARTS = 32
 UNKNOWN = "und"
 
-BLOCK_ENTRIES = 1 << 22  # hashes that a task gathers before it sends a block
-BLOCKS_AT_ONCE = 64
-PARTITION_BYTES = 16 << 20  # of text, for each partition of hashes
+BLOCK_ENTRIES = 1 << 21  # hashes that a task gathers before it sends a block
+BLOCKS_AT_ONCE = 16
+PARTITION_BYTES = 8 << 20  # of text, for each partition of hashes
+SLICE_BYTES = 1 << 20
 FILTER_BITS, FILTER_PART_BITS = 28, 8  # 32 MB, in 256 parts
 
 
@@ -152,7 +153,7 @@ def slices(b: pa.RecordBatch, seeds: dict[str, int]) -> Iterator[tuple[Phrases,
     for name in names:
         seeds.setdefault(name, lang_hash(name))
     seed = np.array([seeds[n] for n in names], U)
-    for texts in text_slices(b.column("txt")):
+    for texts in text_slices(b.column("txt"), SLICE_BYTES):
         rows = number[texts.first:texts.first + len(texts)]
         yield Phrases(texts, seed[rows]), rows, names
 
