@@ -12,6 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from termcluster.functions.dictionary import literal_strings
+
 
 def squared_distance(x: Column, y: Column, cx, cy) -> Column:
     """(x - cx)^2 + (y - cy)^2 in double precision.
@@ -77,7 +79,7 @@ def with_nearest_centre(df: DataFrame, centres: Sequence[tuple[int, int]], x: st
 
 
 def term_index(tag: Column, terms: Sequence[str]) -> Column:
-    """0-based index of ``tag`` in ``terms``; -1 when absent, null when the
+    """0-based index of ``tag`` in a short list; -1 when absent, null when the
     tag is null."""
     arr = F.array(*[F.lit(t) for t in terms])
     return (F.array_position(arr, tag) - 1).cast("int")
@@ -86,7 +88,7 @@ def term_index(tag: Column, terms: Sequence[str]) -> Column:
 def text_order_code(tag: Column, terms: Sequence[str]) -> Column:
     """An integer ordered as the tag's text: odd for listed terms, even for
     the gaps between them (unlisted tags of one gap share a code); null when
-    the tag is null."""
+    the tag is null. One comparison per term: for short lists."""
     below = sum((F.when(tag > F.lit(t), 1).otherwise(0) for t in terms), F.lit(0))
     return F.when(tag.isNotNull(), below * 2 + F.when(tag.isin(*terms), 1).otherwise(0)).cast("int")
 
@@ -101,7 +103,7 @@ def term_label(x: str, spread: int, terms: Sequence[str]) -> Column:
     """The term whose stratum holds column ``x``: ``terms[x div spread]``.
 
     An index outside the list fails the job, with ANSI on or off."""
-    arr = F.array(*[F.lit(t) for t in terms])
+    arr = literal_strings(terms)
     place = F.expr(f"int(`{x}` div {int(spread)}) + 1")
     outside = F.raise_error(F.concat(F.lit("no term for x = "), F.col(x).cast("string"))).cast("string")
     return F.when(place.between(1, len(terms)), F.get(arr, place - 1)).otherwise(outside)

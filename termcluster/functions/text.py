@@ -30,11 +30,12 @@ def mentions(text: Column | str, term: str) -> Column:
 
 
 def mentioned_terms(text: Column | str, terms) -> Column:
-    """The distinct terms of ``terms`` that ``text`` mentions.
+    """The distinct terms of a short list that ``text`` mentions.
 
-    The text is split once and intersected with the (hashed) term list,
-    so the cost is one pass over the words whatever the number of terms,
-    and a term repeated in the text is reported once."""
+    The text is split once and intersected with the list, whose hash set is
+    built for every row: long lists go through
+    ``operators.mentions.mentioned``. A term repeated in the text is
+    reported once."""
     return F.array_intersect(tokens(text), term_array(terms))
 
 

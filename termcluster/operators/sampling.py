@@ -35,12 +35,45 @@ def sample_per_stratum(vectors: DataFrame, per_stratum: int, seed: int,
             .filter(F.col("rn") <= per_stratum))
 
 
-def sample_global(vectors: DataFrame, n: int, seed: int, id_col: str = "id") -> DataFrame:
-    """Exactly ``min(n, rows)`` rows without replacement. Plans as a
-    top-n (each task keeps n rows, one task merges them)."""
+# Sizes up to here are a top-n: every task keeps n rows and one merges them.
+ONE_TASK = 100_000
+# Hex digits by which the histogram of keys is refined: at most 65 536 buckets.
+DIGITS = 4
+
+
+def sample_global(vectors: DataFrame, n: int, seed: int, id_col: str = "id", one_task: int = ONE_TASK) -> DataFrame:
+    """Exactly ``min(n, rows)`` rows without replacement: those with the
+    smallest keys.
+
+    Up to ``one_task`` rows are a top-n. More are never sorted or held in one
+    task: a histogram of key prefixes (at most 65 536 counts on the driver)
+    says in which bucket the n-th key lies; that bucket is refined until at
+    most ``one_task`` of its rows are left to decide on, and one filter takes all
+    keys below it. Rows that share one id and lie on the border (more than
+    ``one_task`` of them) are cut by a plain limit."""
     if n <= 0:
         raise ValueError("n must be positive")
-    return vectors.orderBy(sample_key(seed, id_col), F.col(id_col)).limit(n)
+    order = (sample_key(seed, id_col), F.col(id_col))
+    if n <= one_task:
+        return vectors.orderBy(*order).limit(n)
+    key, border, left = order[0], "", n
+    while True:
+        inside = vectors.filter(key.startswith(border)) if border else vectors
+        counts = sorted(tuple(r) for r in inside.groupBy(F.substring(key, 1, len(border) + DIGITS).alias("p")).count().collect())
+        for prefix, count in counts:
+            if count > left:
+                break
+            left -= count
+        else:  # everything in the bucket belongs to the sample (only the whole table can end here)
+            return vectors
+        border = prefix
+        if min(count, left) <= one_task or len(border) >= 32:
+            break
+    below = vectors.filter(key < border)
+    if not left:
+        return below
+    edge = vectors.filter(key.startswith(border))
+    return below.unionByName(edge.limit(left) if len(border) >= 32 else edge.orderBy(*order).limit(left))
 
 
 def initial_centres(vectors: DataFrame, kernels: int, per_stratum: int | None,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
 # The language names whose order defines the term index
@@ -70,6 +71,6 @@ def check_terms(terms) -> tuple[str, ...]:
         if not isinstance(t, str) or t == "":
             raise ValueError(f"invalid term {t!r}")
     if len(set(terms)) != len(terms):
-        dup = sorted({t for t in terms if terms.count(t) > 1})
+        dup = sorted(t for t, n in Counter(terms).items() if n > 1)
         raise ValueError(f"repeated terms: {dup}")
     return terms

@@ -34,6 +34,11 @@ ONE_TERM = "the"
 SAMPLE_FRACTION = 0.1
 SAMPLE_SEED = 0
 
+# Blocks and parts of the queries that show their splitting, and the size of
+# the large sample.
+SMALL_BLOCK = 64
+LARGE_SAMPLE = 5000
+
 # Clustering of the order/line-item postings: 5 priority strata, three
 # centres each. With spread 50000 every cluster of this data is pure, so
 # the "_mixed" queries rerun with spread 5000 to exercise the dominance
@@ -77,6 +82,20 @@ def rank_terms_grouped(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mentions.rank_terms_grouped(tables.articles(spark, sf_dir), DOCUMENT_TERMS)
 
 
+def article_term_pairs_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pairs for a dictionary table: all words of the benchmark texts."""
+    return mentions.article_term_pairs(tables.articles(spark, sf_dir), tables.benchmark_words(spark, sf_dir))
+
+
+def rank_terms_all_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mentions.rank_terms_all(tables.articles(spark, sf_dir), tables.benchmark_words(spark, sf_dir))
+
+
+def term_index_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The index for a dictionary table, in small blocks, so that terms have many."""
+    return mentions.term_index(tables.articles(spark, sf_dir), tables.benchmark_words(spark, sf_dir), block=SMALL_BLOCK)
+
+
 def posting_lines_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Render every posting as a line and parse it back."""
     return posting_src.parse_postings(posting_src.posting_lines(tables.postings(spark, sf_dir)))
@@ -112,6 +131,22 @@ def question_tag_index(spark: SparkSession, sf_dir: str) -> DataFrame:
     return post.question_tag_index(scored, POSTING_PARAMS.terms)
 
 
+def question_tag_index_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tags are customers; the dictionary is a table of customers."""
+    scored = post.question_max_score(tables.customer_postings(spark, sf_dir))
+    return post.question_tag_index(scored, tables.building_customers(spark, sf_dir))
+
+
+def score_vectors_long(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return post.score_vectors(tables.customer_postings(spark, sf_dir), tables.building_customers(spark, sf_dir), POSTING_PARAMS.spread)
+
+
+def question_answer_groups_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Answers grouped per tag instead of per question, in small parts: every group
+    has many."""
+    return post.question_answer_groups(tables.priority_postings(spark, sf_dir), part=SMALL_BLOCK)
+
+
 def _vectors(spark: SparkSession, sf_dir: str, params: ClusterParams = POSTING_PARAMS) -> DataFrame:
     return post.score_vectors(tables.postings(spark, sf_dir), params.terms, params.spread)
 
@@ -135,6 +170,11 @@ def sample_global(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_global(_vectors(spark, sf_dir), p.kernels, p.seed).select("x", "y", "id")
 
 
+def sample_global_large(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A sample that no task holds: by the histogram of keys."""
+    return sampling.sample_global(_vectors(spark, sf_dir), LARGE_SAMPLE, POSTING_PARAMS.seed, one_task=SMALL_BLOCK).select("x", "y", "id")
+
+
 def _prepared(spark: SparkSession, sf_dir: str, params: ClusterParams = POSTING_PARAMS):
     """Weighted points in the checkpoint folder and the stratified initial
     centres; the tables are read once and nothing stays cached."""
@@ -205,6 +245,9 @@ QUERIES: dict[str, QueryFn] = {
     "term_index": term_index,
     "rank_terms_from_index": rank_terms_from_index,
     "rank_terms_grouped": rank_terms_grouped,
+    "article_term_pairs_long": article_term_pairs_long,
+    "rank_terms_all_long": rank_terms_all_long,
+    "term_index_long": term_index_long,
     "posting_lines_parse": posting_lines_parse,
     "lines_sample_with_replacement": lines_sample_with_replacement,
     "questions_keyed": questions_keyed,
@@ -213,10 +256,14 @@ QUERIES: dict[str, QueryFn] = {
     "question_answer_groups": question_answer_groups,
     "question_max_score": question_max_score,
     "question_tag_index": question_tag_index,
+    "question_tag_index_long": question_tag_index_long,
+    "question_answer_groups_split": question_answer_groups_split,
     "score_vectors": score_vectors,
+    "score_vectors_long": score_vectors_long,
     "score_vectors_sorted": score_vectors_sorted,
     "sample_per_stratum": sample_per_stratum,
     "sample_global": sample_global,
+    "sample_global_large": sample_global_large,
     "assign_nearest": assign_nearest,
     "cluster_means": cluster_means,
     "cluster_sizes": cluster_sizes,

@@ -11,7 +11,7 @@ from termcluster.operators.mentions import DEFAULT_BLOCK
 from termcluster.operators.postings import DEFAULT_PART
 from termcluster.operators.report import REPORT_FORMAT
 from termcluster.params import ClusterParams
-from termcluster.plans.catalog import MIXED_PARAMS, ONE_TERM, POSTING_PARAMS, SAMPLE_FRACTION, SAMPLE_SEED
+from termcluster.plans.catalog import LARGE_SAMPLE, MIXED_PARAMS, ONE_TERM, POSTING_PARAMS, SAMPLE_FRACTION, SAMPLE_SEED, SMALL_BLOCK
 from termcluster.sources.postings import DRAW_DIGITS, poisson_thresholds
 from termcluster.sources.tables import ANSWER_ID_FACTOR, DOCUMENT_TERMS
 
@@ -34,6 +34,13 @@ pairs AS (
   WHERE tok IN (SELECT unnest({_TERMS}))
 )"""
 
+# The same for the words of the benchmark texts.
+_LONG_PAIRS = """
+words AS (SELECT DISTINCT term FROM (SELECT unnest(string_split(text, ' ')) AS term FROM benchmark) WHERE term <> ''),
+pairs AS (
+  SELECT DISTINCT doc_id, tok AS term
+  FROM (SELECT doc_id, unnest(string_split(text, ' ')) AS tok FROM documents) JOIN words ON tok = term)"""
+
 _COUNTS = f"""{_PAIRS},
 counts AS (SELECT term, count(*)::BIGINT AS n FROM pairs GROUP BY term)"""
 
@@ -58,8 +65,19 @@ full_counts AS (SELECT t.term, coalesce(c.n, 0)::BIGINT AS n FROM terms t LEFT J
 {_ranked('full_counts')}""",
     "term_index": f"""
 WITH {_PAIRS}
-SELECT term, doc_id // {DEFAULT_BLOCK} AS block, list(doc_id ORDER BY doc_id) AS docs, count(*)::BIGINT AS n
-FROM pairs GROUP BY term, doc_id // {DEFAULT_BLOCK}""",
+SELECT term, block, list(doc_id ORDER BY doc_id) AS docs, count(*)::BIGINT AS n
+FROM (SELECT *, (row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1) // {DEFAULT_BLOCK} AS block FROM pairs)
+GROUP BY term, block""",
+    "article_term_pairs_long": f"WITH {_LONG_PAIRS} SELECT doc_id, term FROM pairs",
+    "rank_terms_all_long": f"""
+WITH {_LONG_PAIRS},
+full_counts AS (SELECT w.term, count(p.doc_id)::BIGINT AS n FROM words w LEFT JOIN pairs p USING (term) GROUP BY w.term)
+{_ranked('full_counts')}""",
+    "term_index_long": f"""
+WITH {_LONG_PAIRS}
+SELECT term, block, list(doc_id ORDER BY doc_id) AS docs, count(*)::BIGINT AS n
+FROM (SELECT *, (row_number() OVER (PARTITION BY term ORDER BY doc_id) - 1) // {SMALL_BLOCK} AS block FROM pairs)
+GROUP BY term, block""",
     "rank_terms_from_index": f"WITH {_COUNTS} {_ranked('counts')}",
     "rank_terms_grouped": f"WITH {_COUNTS} {_ranked('counts')}",
 }
@@ -80,6 +98,15 @@ best AS (SELECT question_id, max(score) AS max_score FROM answers GROUP BY quest
 scored AS (SELECT q.question_id, q.tag, b.max_score FROM uq q JOIN best b USING (question_id))"""
 
 
+def _customer_ctes() -> str:
+    return """
+best AS (SELECT l_orderkey AS question_id, max(trunc(l_extendedprice)::INTEGER) AS max_score
+         FROM lineitem WHERE l_orderkey IS NOT NULL GROUP BY l_orderkey),
+uq AS (SELECT o_orderkey AS question_id, min('C' || o_custkey) AS tag FROM orders GROUP BY o_orderkey),
+listed AS (SELECT 'C' || c_custkey AS tag, c_custkey AS idx FROM customer WHERE c_mktsegment = 'BUILDING'),
+tagged AS (SELECT question_id, idx, max_score FROM uq JOIN best USING (question_id) JOIN listed USING (tag))"""
+
+
 def _vector_ctes(p: ClusterParams) -> str:
     tags = _list(p.terms)
     return f"""{_postings_ctes()},
@@ -182,7 +209,8 @@ WITH lines AS (
   UNION ALL
   SELECT concat('2,', l_orderkey * {ANSWER_ID_FACTOR} + l_linenumber, ',,', l_orderkey, ',',
                 trunc(l_extendedprice)::INTEGER) FROM lineitem),
-draws AS (SELECT value, ('0x' || substr(md5('{SAMPLE_SEED}:' || value), 1, {DRAW_DIGITS}))::BIGINT AS d FROM lines),
+numbered AS (SELECT value, row_number() OVER (PARTITION BY value) - 1 AS k FROM lines),
+draws AS (SELECT value, ('0x' || substr(md5('{SAMPLE_SEED}:' || k || ':' || value), 1, {DRAW_DIGITS}))::BIGINT AS d FROM numbered),
 copies AS (SELECT value, len(list_filter({poisson_thresholds(SAMPLE_FRACTION)}, lambda t: d >= t)) AS k FROM draws)
 SELECT value FROM (SELECT value, unnest(range(k)) AS i FROM copies)""",
         "questions_keyed": f"WITH {_postings_ctes()} SELECT question_id, tag FROM questions",
@@ -192,10 +220,23 @@ WITH {_postings_ctes()}
 SELECT question_id, tag, answer_id, score FROM answers JOIN uq USING (question_id)""",
         "question_answer_groups": f"""
 WITH {_postings_ctes()}
-SELECT question_id, tag, answer_id // {DEFAULT_PART} AS part, count(*)::BIGINT AS n,
+SELECT question_id, tag, part, count(*)::BIGINT AS n,
        list(answer_id ORDER BY answer_id, score) AS answer_ids, list(score ORDER BY answer_id, score) AS scores
-FROM answers JOIN uq USING (question_id)
-GROUP BY question_id, tag, answer_id // {DEFAULT_PART}""",
+FROM (SELECT *, (row_number() OVER (PARTITION BY question_id ORDER BY answer_id, score) - 1) // {DEFAULT_PART} AS part
+      FROM answers JOIN uq USING (question_id))
+GROUP BY question_id, tag, part""",
+        "question_answer_groups_split": f"""
+WITH a AS (SELECT ascii(o_orderpriority)::BIGINT AS question_id, o_orderpriority AS tag, o_orderkey AS answer_id,
+                  trunc(o_totalprice)::INTEGER AS score FROM orders),
+r AS (SELECT *, (row_number() OVER (PARTITION BY question_id ORDER BY answer_id, score) - 1) // {SMALL_BLOCK} AS part FROM a)
+SELECT question_id, tag, part, count(*)::BIGINT AS n,
+       list(answer_id ORDER BY answer_id, score) AS answer_ids, list(score ORDER BY answer_id, score) AS scores
+FROM r GROUP BY question_id, tag, part""",
+        "question_tag_index_long": f"WITH {_customer_ctes()} SELECT question_id, idx FROM tagged",
+        "score_vectors_long": f"WITH {_customer_ctes()} SELECT question_id AS id, idx * {p.spread}::BIGINT AS x, max_score AS y FROM tagged",
+        "sample_global_large": f"""
+WITH {_vector_ctes(p)}
+SELECT x, y, id FROM vectors ORDER BY md5('{p.seed}:' || id::VARCHAR), id LIMIT {LARGE_SAMPLE}""",
         "question_max_score": f"WITH {_postings_ctes()} SELECT question_id, tag, max_score FROM scored",
         "question_tag_index": f"""
 WITH {_postings_ctes()}

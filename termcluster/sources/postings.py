@@ -88,15 +88,28 @@ def sample_lines(lines: DataFrame, fraction: float = 0.1, seed: int = 0,
     """Row sample of the source: with replacement (default), a row appears
     k times with the Poisson probability of k for the mean ``fraction``.
 
-    The draw is the md5 of seed and line, so the sample is the same on any
-    layout; equal lines share their draw. Other columns are dropped."""
-    draw = F.conv(F.substring(F.md5(F.concat(F.lit(f"{int(seed)}:"), F.col("value"))), 1, DRAW_DIGITS), 16, 10).cast("bigint")
+    Equal lines are numbered, and the draw is the md5 of seed, number and
+    line: the sample is the same on any layout, and every line has a draw of
+    its own. The numbers come from the lines' counts (one row a distinct line,
+    pre-aggregated); a line with more than ``NUMBERS`` occurrences is dealt in
+    chunks over the tasks. Other columns and null lines are dropped."""
+    counted = (lines.select("value").filter(F.col("value").isNotNull())
+               .groupBy("value").agg(F.count(F.lit(1)).alias("n")))
+    few = counted.filter(F.col("n") <= NUMBERS).select("value", F.lit(0).cast("bigint").alias("first"), F.col("n").alias("end"))
+    first = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("n") - 1, F.lit(NUMBERS).cast("bigint"))).alias("first")
+    many = (counted.filter(F.col("n") > NUMBERS).select("value", "n", first).repartition("value", "first")
+            .select("value", "first", F.least(F.col("first") + NUMBERS, "n").alias("end")))
+    each = few.unionByName(many).select("value", F.explode(F.sequence("first", F.col("end") - 1)).alias("k"))
+    text = F.concat(F.lit(f"{int(seed)}:"), F.col("k").cast("string"), F.lit(":"), F.col("value"))
+    draw = F.conv(F.substring(F.md5(text), 1, DRAW_DIGITS), 16, 10).cast("bigint")
     if not with_replacement:
-        return lines.select("value").filter(draw < int(fraction * 16 ** DRAW_DIGITS))
-    copies = sum((F.when(draw >= t, 1).otherwise(0) for t in poisson_thresholds(fraction)), F.lit(0))
-    return lines.select(F.explode(F.array_repeat("value", copies)).alias("value"))
+        return each.filter(draw < int(fraction * 16 ** DRAW_DIGITS)).select("value")
+    copies = sum((F.when(F.col("d") >= t, 1).otherwise(0) for t in poisson_thresholds(fraction)), F.lit(0))
+    return each.select("value", draw.alias("d")).select(F.explode(F.array_repeat("value", copies)).alias("value"))
 
 
+# Occurrences of one line that a task numbers at a time.
+NUMBERS = 1 << 16
 # Hex digits of a draw: exact in a bigint and in the doubles of the thresholds.
 DRAW_DIGITS = 13
 
