@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
+from termcluster.functions.intervals import Lines
 from termcluster.operators import kmeans as km
 from termcluster.operators import report as rep
 from termcluster.operators.postings import score_vectors
@@ -18,22 +19,19 @@ from termcluster.params import ClusterParams
 class Clustering:
     """The state of one clustering run.
 
-    ``points`` are the weighted points in the shared checkpoint folder;
-    ``initial`` the sampled centres; ``result`` the k-means outcome."""
+    ``points`` are the weighted points in the shared checkpoint folder and
+    ``lines`` their x with the ends and bands of each; ``initial`` the sampled
+    centres; ``result`` the k-means outcome."""
 
     params: ClusterParams
     points: DataFrame
+    lines: Lines | None
     initial: km.Centres
     result: km.KMeansResult | None = None
 
     def report(self) -> DataFrame:
         return rep.cluster_report(self.points, self.final_centres, self.params.terms,
-                                  self.params.spread)
-
-    def release(self) -> None:
-        """Drop the in-memory copy of the points (the checkpoint stays; a
-        later report reads it from the checkpoint folder)."""
-        self.points.unpersist()
+                                  self.params.spread, lines=self.lines)
 
     @property
     def final_centres(self) -> km.Centres:
@@ -47,7 +45,7 @@ def prepare(postings: DataFrame, params: ClusterParams) -> Clustering:
 
     The vectors feed two jobs (the sample and the point aggregate), so
     they are persisted for the duration; the points that the k-means
-    steps read are reliably checkpointed."""
+    steps read lie in the checkpoint folder."""
     per_stratum = params.per_stratum       # raises unless kernels is a multiple of the terms
     if not params.samples_by_stratum:
         per_stratum = None                 # strata too close: one global sample
@@ -55,19 +53,15 @@ def prepare(postings: DataFrame, params: ClusterParams) -> Clustering:
         StorageLevel.MEMORY_AND_DISK_DESER)
     try:
         centres = initial_centres(vectors, params.kernels, per_stratum, params.seed)
-        points = km.checkpointed_points(vectors)
+        points, lines = km.banded_points(vectors)
     finally:
         vectors.unpersist()
-    return Clustering(params, points, centres)
+    return Clustering(params, points, lines, centres)
 
 
 def cluster_questions(postings: DataFrame, params: ClusterParams) -> Clustering:
     """Prepare and run k-means to convergence (or the iteration cap, see
-    ``result.converged``). The cached points are released; the report reads
-    the checkpoint."""
+    ``result.converged``)."""
     c = prepare(postings, params)
-    try:
-        c.result = km.kmeans(c.points, c.initial, params.eta, params.max_iterations)
-    finally:
-        c.release()
+    c.result = km.kmeans(c.points, c.initial, params.eta, params.max_iterations, c.lines)
     return c

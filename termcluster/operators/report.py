@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from termcluster.functions.geometry import term_label
+from termcluster.functions.intervals import Lines
 from termcluster.operators.kmeans import assign_nearest, point_weight
 
 # The printed report line (median, label, percent, size)
@@ -33,13 +34,13 @@ REPORT_HEADER = (
 BUCKET_BITS = 16
 
 
-def _assigned(points: DataFrame, centres) -> DataFrame:
-    return assign_nearest(points, centres).select("cluster", "x", "y", point_weight(points).alias("w"))
+def _assigned(points: DataFrame, centres, lines: Lines | None = None) -> DataFrame:
+    return assign_nearest(points, centres, lines).select("cluster", "x", "y", point_weight(points).alias("w"))
 
 
-def cluster_sizes(points: DataFrame, centres: Sequence[tuple[int, int]]) -> DataFrame:
+def cluster_sizes(points: DataFrame, centres: Sequence[tuple[int, int]], lines: Lines | None = None) -> DataFrame:
     """``(cluster, size)`` for every non-empty cluster."""
-    return _assigned(points, centres).groupBy("cluster").agg(F.sum("w").alias("size"))
+    return _assigned(points, centres, lines).groupBy("cluster").agg(F.sum("w").alias("size"))
 
 
 def _dominant(assigned: DataFrame, terms, spread: int) -> DataFrame:
@@ -54,10 +55,10 @@ def _dominant(assigned: DataFrame, terms, spread: int) -> DataFrame:
         F.col("size").cast("bigint").alias("size"))
 
 
-def cluster_dominant(points: DataFrame, centres, terms, spread: int) -> DataFrame:
+def cluster_dominant(points: DataFrame, centres, terms, spread: int, lines: Lines | None = None) -> DataFrame:
     """``(cluster, label, percent)``: the most frequent stratum of each
     cluster and its share of the cluster in percent."""
-    return _dominant(_assigned(points, centres), terms, spread).select("cluster", "label", "percent")
+    return _dominant(_assigned(points, centres, lines), terms, spread).select("cluster", "label", "percent")
 
 
 def _median(assigned: DataFrame) -> DataFrame:
@@ -83,18 +84,18 @@ def _median(assigned: DataFrame) -> DataFrame:
             .selectExpr("cluster", "int((lo + hi) div 2) AS median"))
 
 
-def cluster_median(points: DataFrame, centres) -> DataFrame:
+def cluster_median(points: DataFrame, centres, lines: Lines | None = None) -> DataFrame:
     """``(cluster, median)``: median score of all members, truncated."""
-    return _median(_assigned(points, centres))
+    return _median(_assigned(points, centres, lines))
 
 
 def cluster_report(points: DataFrame, centres, terms, spread: int,
-                   with_cluster: bool = False) -> DataFrame:
+                   with_cluster: bool = False, lines: Lines | None = None) -> DataFrame:
     """``(label, percent, size, median)`` per non-empty cluster, ordered
     by median (then label). Both joined sides hold at most K rows."""
     # Grouped once, so that both branches reuse one exchange and the
     # nearest centres are computed once.
-    assigned = _assigned(points, centres).groupBy("cluster", "x", "y").agg(F.sum("w").alias("w"))
+    assigned = _assigned(points, centres, lines).groupBy("cluster", "x", "y").agg(F.sum("w").alias("w"))
     rep = _dominant(assigned, terms, spread).join(F.broadcast(_median(assigned)), "cluster")
     cols = (["cluster"] if with_cluster else []) + ["label", "percent", "size", "median"]
     # At most K rows: one partition sorted in place gives the total order

@@ -17,7 +17,7 @@ from termcluster.operators import mentions
 from termcluster.operators import postings as post
 from termcluster.operators import report as rep
 from termcluster.operators import sampling
-from termcluster.operators.clustering import cluster_questions, prepare
+from termcluster.operators.clustering import Clustering, cluster_questions, prepare
 from termcluster.params import ClusterParams
 from termcluster.session import reliable_checkpoint
 from termcluster.sources import articles as article_src
@@ -175,12 +175,10 @@ def sample_global_large(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.sample_global(_vectors(spark, sf_dir), LARGE_SAMPLE, POSTING_PARAMS.seed, one_task=SMALL_BLOCK).select("x", "y", "id")
 
 
-def _prepared(spark: SparkSession, sf_dir: str, params: ClusterParams = POSTING_PARAMS):
-    """Weighted points in the checkpoint folder and the stratified initial
-    centres; the tables are read once and nothing stays cached."""
-    c = prepare(tables.postings(spark, sf_dir), params)
-    c.release()
-    return c.points, c.initial
+def _prepared(spark: SparkSession, sf_dir: str, params: ClusterParams = POSTING_PARAMS) -> Clustering:
+    """Weighted points in the checkpoint folder, their lines and the stratified
+    initial centres; the tables are read once and nothing stays cached."""
+    return prepare(tables.postings(spark, sf_dir), params)
 
 
 def assign_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -191,16 +189,18 @@ def assign_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_means(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return km.cluster_means(*_prepared(spark, sf_dir))
+    c = _prepared(spark, sf_dir)
+    return km.cluster_means(c.points, c.initial, c.lines)
 
 
 def cluster_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rep.cluster_sizes(*_prepared(spark, sf_dir))
+    c = _prepared(spark, sf_dir)
+    return rep.cluster_sizes(c.points, c.initial, c.lines)
 
 
 def centre_movement(spark: SparkSession, sf_dir: str) -> DataFrame:
-    points, centres = _prepared(spark, sf_dir)
-    return km.centre_movement(km.centres_frame(spark, centres), km.cluster_means(points, centres))
+    c = _prepared(spark, sf_dir)
+    return km.centre_movement(km.centres_frame(spark, c.initial), km.cluster_means(c.points, c.initial, c.lines))
 
 
 def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -209,7 +209,8 @@ def kmeans(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _dominant(spark: SparkSession, sf_dir: str, params: ClusterParams) -> DataFrame:
-    return rep.cluster_dominant(*_prepared(spark, sf_dir, params), params.terms, params.spread)
+    c = _prepared(spark, sf_dir, params)
+    return rep.cluster_dominant(c.points, c.initial, params.terms, params.spread, c.lines)
 
 
 def cluster_dominant(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -221,7 +222,8 @@ def cluster_dominant_mixed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_median(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return rep.cluster_median(*_prepared(spark, sf_dir))
+    c = _prepared(spark, sf_dir)
+    return rep.cluster_median(c.points, c.initial, c.lines)
 
 
 def cluster_report(spark: SparkSession, sf_dir: str) -> DataFrame:

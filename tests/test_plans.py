@@ -124,21 +124,32 @@ def test_point_partitions_grow_with_the_points(spark):
     vectors = spark.range(1000).selectExpr("int(id) AS x", "int(id) AS y")
     points = km.checkpointed_points(vectors, points_per_task=20)
     assert points.rdd.getNumPartitions() == 50 > spark.sparkContext.defaultParallelism
-    points.unpersist()
 
 
 def test_kmeans_step_shape(spark):
-    """A step: partial aggregate, one exchange, final aggregate read by one
-    task; the points' partitions follow from their count."""
-    from termcluster.operators import kmeans as km
+    """A step: the bands' columns alone, a join with the intervals, a partial
+    aggregate, one exchange, and a final aggregate read by one task."""
     from termcluster.operators.clustering import prepare
+    from termcluster.operators import kmeans as km
     from termcluster.plans.catalog import POSTING_PARAMS
     from termcluster.sources import tables
     run = prepare(tables.postings(spark, SF), POSTING_PARAMS)
-    n = run.points.count()
-    assert run.points.rdd.getNumPartitions() == max(1, -(-n // km.POINTS_PER_TASK))
-    step = km.step_means(run.points, run.initial)
+    step = km.step_means(run.points, run.initial, run.lines)
     p = plan(step)
-    assert "Coalesce 1" in p and "partial_sum" in p and "InMemoryTableScan" in p
+    assert "Coalesce 1" in p and "partial_sum" in p and "BroadcastHashJoin" in p and "transform(" not in p
+    assert p.count("Exchange hashpartitioning") == 1
     assert step.rdd.getNumPartitions() == 1
-    run.release()
+
+
+def test_a_step_reads_the_bands_that_it_needs(spark):
+    from termcluster.operators import kmeans as km
+    vectors = spark.range(4000).selectExpr("int(id % 2 * 1000) AS x", "int(id) AS y")
+    points, lines = km.banded_points(vectors, points_per_task=100)
+    assert points.select("band").distinct().count() == 1 + max(x.band_of(x.most) for x in lines.values()) > 30
+    assert max(r["count"] for r in points.groupBy("band").count().collect()) <= 100
+    sums = km.ClusterSums(points, lines, 2)
+    sums.bands.append(0)
+    read = sums.read([(0, 130, 170, 7)], ["c"])
+    assert sums.bands == [1] and read.count() == 21
+    p = plan(read)
+    assert "band" in p.split("PartitionFilters: [")[1].split("]")[0], p
