@@ -1,6 +1,7 @@
 """BPE encoding and decoding by batched numpy merge rounds.
 
-Texts are split into pre-tokens by the pattern of byte-level BPE. The distinct
+Texts are split into pre-tokens by the pattern of byte-level BPE, with the tokenizers
+library's classes of characters (``pretokens``). The distinct
 pre-tokens of a batch are merged all at once: their symbols lie in one flat
 array; a round looks up the rank of every adjacent pair by binary search over
 the sorted pair keys, and each word merges all places of its lowest-ranked pair
@@ -34,11 +35,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
+from termcluster.llm.pretokens import Odd, Splitter, odd_characters
 from termcluster.llm.shared import batch, id_and_text
 from termcluster.llm.textarrays import runs, text_slices
 
-# Fixed value: the pattern of byte-level BPE pre-tokens.
-PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 LONG = 256
 CACHE = 200_000
 NO_RANK = np.int64(1 << 60)
@@ -70,7 +70,6 @@ class Vocabulary:
         self.key, self.rank, self.merged = key[order], order, merged[order]
         self.pair_rank = {(int(a), int(b)): (r, int(m)) for r, (a, b, m) in enumerate(zip(left, right, merged, strict=True))}
         self.added = {t["content"]: t["id"] for t in spec.get("added_tokens", [])}
-        self.split = regex.compile(PATTERN)
         self.special = regex.compile("(" + "|".join(map(regex.escape, sorted(self.added, key=len, reverse=True))) + ")") if self.added else None
         value = {c: b for b, c in enumerate(letters)}
         n = max([*ids.values(), *self.added.values()]) + 1
@@ -155,8 +154,8 @@ def merge_long(v: Vocabulary, symbol: list[int]) -> list[int]:
 class Encoder:
     """Ids of pre-tokens, cached: a growing flat array and a place for each."""
 
-    def __init__(self, v: Vocabulary):
-        self.v = v
+    def __init__(self, v: Vocabulary, odd: Odd):
+        self.v, self.split = v, Splitter(odd)
         self.clear()
 
     def clear(self) -> None:
@@ -197,13 +196,13 @@ class Encoder:
     def pretokens(self, text: str) -> list[str]:
         v = self.v
         if v.special is None or not any(s in text for s in v.added):
-            return v.split.findall(text)
+            return self.split(text)
         out = []
         for piece in v.special.split(text):
             if piece in v.added:
                 out.append("\0special" + piece)
             else:
-                out += v.split.findall(piece)
+                out += self.split(piece)
         return out
 
     def places(self, texts: list[str]) -> list[np.ndarray]:
@@ -229,7 +228,7 @@ def vocabulary(path: str) -> Vocabulary:
 
 def encode(path: str, texts: list[str]) -> list[np.ndarray]:
     """Ids of texts; for use without Spark."""
-    e = Encoder(vocabulary(path))
+    e = Encoder(vocabulary(path), odd_characters())
     out = []
     for p in e.places(texts):
         out.append(e.ids[runs(e.bounds[p], e.bounds[p + 1] - e.bounds[p])])
@@ -240,10 +239,10 @@ def decode_bytes(v: Vocabulary, ids: np.ndarray) -> np.ndarray:
     return v.bytes[runs(v.bounds[ids], v.length[ids])]
 
 
-def bpe_rows(path: str, with_ids: bool, with_row: bool):
+def bpe_rows(path: str, odd: Odd, with_ids: bool, with_row: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v = vocabulary(path)
-        encoder = Encoder(v)
+        encoder = Encoder(v, odd)
         for b in batches:
             n_tokens, ids_sha, text_sha, all_ids, decoded = [], [], [], [], []
             for texts in text_slices(b.column("txt")):
@@ -281,4 +280,4 @@ def bpe_round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col:
     base = id_and_text(docs, id_col, text_col, keep_row)
     schema = "id long, n_tokens long, ids_sha256 string, decoded_sha256 string" + ", ids array<int>, decoded string" * with_ids
     fields = T._parse_datatype_string(schema).fields + [f for f in base.schema.fields if f.name == "row"]
-    return base.mapInArrow(bpe_rows(path, with_ids, keep_row), T.StructType(fields))
+    return base.mapInArrow(bpe_rows(path, odd_characters(), with_ids, keep_row), T.StructType(fields))

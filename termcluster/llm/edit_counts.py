@@ -34,11 +34,10 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from termcluster.llm.bpe_rounds import PATTERN
+from termcluster.llm.pretokens import PATTERN, Odd, Splitter, odd_characters
 from termcluster.llm.shared import batch
 
 LEAF = 64
@@ -50,14 +49,14 @@ EDITS = "array<struct<start:int,end:int,text:string>>"
 class Counter:
     """Number of tokens of pre-tokens, by a rank file of byte-level BPE."""
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, odd: Odd):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self.ranks = ranks
-        self.split = regex.compile(PATTERN).findall
+        self.split = Splitter(odd)
         self.known: dict[str, int] = {}
 
     def counts(self, pretokens: list[str]) -> list[int]:
@@ -77,8 +76,8 @@ class Counter:
 
 
 @lru_cache(maxsize=1)
-def counter(path: str) -> Counter:
-    return Counter(path)
+def counter(path: str, odd: Odd) -> Counter:
+    return Counter(path, odd)
 
 
 class Tree:
@@ -178,9 +177,9 @@ def apply_edit(tree: Tree, data: bytes, start: int, end: int, text: str, count:
     return tree, new, encoded
 
 
-def edit_rows(path: str, with_tree: bool):
+def edit_rows(path: str, odd: Odd, with_tree: bool):
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        count = counter(path)
+        count = counter(path, odd)
         for b in batches:
             out: dict[str, list] = {c: [] for c in ("n_tokens", "n_edits", "n_bytes_encoded", "n_tokens_after", "n_bytes_after")}
             trees, texts = [], []
@@ -211,7 +210,7 @@ def edited_counts(docs: DataFrame, edits: Column, path: str, id_col: str = "doc_
     in UTF-8 bytes of the text."""
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("txt"), edits.cast(EDITS).alias("edits"))
     schema = "id long, n_tokens long, n_edits long, n_bytes_encoded long, n_tokens_after long, n_bytes_after long" + ", tree array<long>, text_after string" * with_tree
-    return rows.mapInArrow(edit_rows(path, with_tree), schema)
+    return rows.mapInArrow(edit_rows(path, odd_characters(), with_tree), schema)
 
 
 def line_edits(text: Column) -> Column:

@@ -3,10 +3,11 @@ import random
 
 import public_tokenizers
 import pytest
-from tokenizers import Tokenizer
+from tokenizers import Tokenizer, pre_tokenizers
 
 from tests.llm.brute import corpus, frame
 from termcluster.llm.bpe_rounds import Vocabulary, bpe_round_trip, encode, merge_long
+from termcluster.llm.pretokens import Splitter, odd_characters
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 
@@ -52,3 +53,18 @@ def test_round_trip_through_spark(spark, library):
 
 def test_empty_table(spark):
     assert bpe_round_trip(frame(spark, []), PATH).collect() == []
+
+
+def test_every_code_point_is_cut_as_the_library_cuts_it():
+    cut = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True).pre_tokenize_str
+    split = Splitter(odd_characters())
+    points = [*range(0xD800), *range(0xE000, 0x110000)]
+    for k in range(0, len(points), 1024):
+        text = "".join(f"a{chr(c)}'s {chr(c)}'s" for c in points[k:k + 1024])
+        assert split(text) == [text[a:b] for _, (a, b) in cut(text)]
+
+
+def test_ids_of_characters_newer_than_the_library(library):
+    odd = list("\u0558\u088f\u0c5c\U000323b0")
+    texts = [f"a{c}'s {c}'s 1{c}1 {c}{c} {c}!" for c in odd]
+    assert [x.tolist() for x in encode(PATH, texts)] == [e.ids for e in library.encode_batch(texts, add_special_tokens=False)]
