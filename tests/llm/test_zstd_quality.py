@@ -1,11 +1,12 @@
 import random
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.brute import frame
 from termcluster.llm.training_sample import held_out
-from termcluster.llm.zstd_quality import fit, score
+from termcluster.llm.zstd_quality import PENALTY, Compressors, fit, logistic, score, train
 
 LABELS = "doc_id long, quality int, toxic int"
 DATA = "/root/testdata/sf0.01"
@@ -56,3 +57,32 @@ def test_nulls_empty_tables_and_missing_classes(spark):
     none = fit(docs, table.limit(0))
     assert {round(r.score, 6) for r in score(docs, none).collect()} == {0.5}
     assert score(frame(spark, []), none).collect() == []
+
+
+@pytest.mark.parametrize("seed", range(12))
+def test_the_fit_converges_on_any_draw(seed):
+    """Separable and skewed inputs on which undamped steps run away."""
+    r = np.random.default_rng(seed)
+    n = int(r.integers(10, 400))
+    z = r.standard_normal((n, 3)) ** 3 * r.choice([1, 3, 10], 3) + r.standard_normal(3)
+    y = (z[:, 0] + (0 if seed % 2 else r.standard_normal(n)) > np.quantile(z[:, 0], r.uniform(0.05, 0.95))).astype(float)
+    x = np.column_stack([z, z * z, np.ones(n)])
+    w = logistic(x, y, PENALTY)
+    p = 1 / (1 + np.exp(-np.clip(x @ w, -500, 500)))
+    slope = x.T @ (y - p) - PENALTY * w
+    left = slope @ np.linalg.solve(x.T @ (x * (p * (1 - p))[:, None]) + PENALTY * np.eye(len(w)), slope)
+    assert np.isfinite(w).all() and left < 1e-6
+    assert seed % 2 == 0 or ((p >= 0.5) == (y == 1)).mean() > 0.9  # odd seeds are separable
+
+
+def test_the_fit_converges_on_many_draws_of_the_labels(spark):
+    docs = {r.doc_id: r.text or "" for r in spark.read.parquet(f"{DATA}/documents.parquet").select("doc_id", "text").collect()}
+    labels = sorted((r.doc_id, r.quality) for r in spark.read.parquet(f"{DATA}/labels.parquet").collect() if r.quality is not None)
+    for seed in range(6):
+        random.Random(seed).shuffle(labels)
+        cut = len(labels) * 2 // 3
+        good, bad = ([docs[i].encode() for i, q in labels[:cut] if q == k] for k in (1, 0))
+        model = train(good, bad, len(good) / cut)
+        out = labels[cut:]
+        scores = model.score(Compressors(model.good, model.bad).features([docs[i].encode() for i, _ in out]))
+        assert np.mean((scores >= 0.5) == np.array([q == 1 for _, q in out])) > 0.85, seed
