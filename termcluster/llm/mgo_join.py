@@ -310,10 +310,10 @@ def component_survivors(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     stay = found.filter("id = component_id").groupBy(F.col("id").alias(id_col)).agg(F.count("*").alias("k"))
     no_id = docs.filter(F.col(id_col).isNull())
     if not one_per_id:
-        return docs.join(stay.select(id_col), id_col, "left_semi").union(no_id)
+        return docs.join(stay.select(id_col), id_col, "left_semi").unionByName(no_id).select(docs.columns)
     stay = scratch(stay, "stay")
     repeated = scratch(stay.filter("k > 1").select(id_col), "repeated")
     alone = docs.join(stay.filter("k = 1").select(id_col), id_col, "left_semi")
     order = F.struct(F.col(text_col), F.xxhash64(F.to_json(F.struct("*"))))
     ranked = docs.join(repeated, id_col, "left_semi").select(F.col(id_col).alias("id"), F.struct("*").alias("row"), order.alias("order"))
-    return alone.union(ranked.groupBy("id").agg(F.min_by("row", "order").alias("row")).select("row.*")).union(no_id)
+    return alone.unionByName(ranked.groupBy("id").agg(F.min_by("row", "order").alias("row")).select("row.*")).unionByName(no_id).select(docs.columns)

@@ -61,3 +61,14 @@ def test_one_row_per_id(spark):
     for parts in (1, 4):
         got = component_survivors(frame(spark, rows, parts), one_per_id=True).collect()
         assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted(want, key=str)
+
+
+def test_survivors_keep_columns_in_any_order(spark):
+    """doc_id needn't be the first column."""
+    rows = [(1, "a b c d e f"), (2, "a b c d e f"), (3, "x y z"), (3, "x y w"), (None, "q")]
+    docs = frame(spark, rows).select("text", "n_chars", "doc_id")
+    for one, ids in ((False, [None, 1, 3, 3]), (True, [None, 1, 3])):
+        got = component_survivors(docs, one_per_id=one)
+        assert got.columns == docs.columns
+        assert sorted((r.doc_id for r in got.collect()), key=lambda i: (i is not None, i)) == ids
+        assert all(r.n_chars == len(r.text) for r in got.collect())
