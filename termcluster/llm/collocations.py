@@ -62,7 +62,7 @@ BLOCK_ENTRIES = 1 << 21  # hashes that a task gathers before it sends a block
 BLOCKS_AT_ONCE = 16
 PARTITION_BYTES = 8 << 20  # of text, for each partition of hashes
 SLICE_BYTES = 1 << 20
-FILTER_BITS, FILTER_PART_BITS = 28, 8  # 32 MB, in 256 parts
+FILTER_BITS, FILTER_PART_BITS = 27, 8  # 16 MB, in 256 parts
 
 
 def lang_seeds(langs: pa.Array) -> tuple[np.ndarray, list[str]]:
@@ -344,8 +344,10 @@ def phrase_counts(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAS
     hashes = scratch(dealt.mapInArrow(frequent_rows(least), "hash long"), "frequent")
     passing = docs.sparkSession.sparkContext.broadcast(phrase_filter(hashes, bits))
     counted = base.mapInArrow(counted_rows(max_words, passing, bits, entries // 2), COUNTED)
-    return (counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
-            .filter((F.col("words") == 0) | (F.col("n") >= least)))
+    found = scratch(counted.groupBy("lang", "words", "phrase").agg(F.sum("n").alias("n"))
+                    .filter((F.col("words") == 0) | (F.col("n") >= least)), "phrases")
+    passing.destroy()  # workers that are used again don't keep it
+    return found
 
 
 def wide(c: str) -> Column:
@@ -354,7 +356,7 @@ def wide(c: str) -> Column:
 
 def collocations(docs: DataFrame, max_words: int = MAX_WORDS, least: int = LEAST, top: int = TOP, num: int = COVER_NUM, den: int = COVER_DEN, **options) -> DataFrame:
     """lang, rank, phrase, a, l, r, n, score: the first ``top`` phrases of a language."""
-    counts = scratch(phrase_counts(docs, max_words, least, **options), "phrases")
+    counts = phrase_counts(docs, max_words, least, **options)
     known = counts.filter("words > 0").select("lang", F.col("phrase").alias("part"), F.col("n").alias("f"))
     candidates = counts.filter("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"))
     word = F.split("phrase", " ")
