@@ -32,8 +32,8 @@ def main() -> None:
     for name, fn in QUERIES.items():
         if name == "kmeans":
             run = prepare(tables.postings(spark, sf_dir), POSTING_PARAMS)
-            df = km.step_means(run.points, run.initial)
-            title = "kmeans (one step; the loop repeats this plan with new literal centres)"
+            df = km.step_means(run.points, run.initial, run.lines)
+            title = "kmeans (all points, as in the first step; later ones take moved intervals and their bands)"
         else:
             df, title = fn(spark, sf_dir), name
         print(f"## {title}\n\n```\n{final_plan(df)}\n```\n")
