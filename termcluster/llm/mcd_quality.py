@@ -23,8 +23,9 @@ integer sums by (group, bin), so its result doesn't depend on the partitioning,
 and a group with a third of all rows is pre-aggregated like any other. The
 bin that holds the last wanted row counts whole.
 
-Scale: the statistics (some 100 bytes per document) are computed once, without a
-shuffle, and written to the shared folder; steps run on them. Estimates are a
+Scale: the statistics (some 100 bytes per document; with ``keep_row`` the rows as
+well) are computed once, without a shuffle, and written to the shared folder; steps
+read only the statistics. Estimates are a
 row per group and start; Spark broadcasts them if they are small. A group and
 start whose estimates repeat takes no part in later steps.
 
@@ -187,15 +188,11 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per document: id, the statistics, base_failed, distance (null
     where base_failed) and kept; keep_row: the input row as a struct."""
     columns = [F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"), F.col(source_col).cast("string").alias("source"), F.col(text_col).cast("string").alias("txt")]
-    measured = text_statistics(docs.select(*columns), "txt").withColumn("base_failed", base_failed()).select("*", *vectors())
+    row = [F.struct("*").alias("row")] if keep_row else []
+    measured = text_statistics(docs.select(*columns, *row), "txt").withColumn("base_failed", base_failed()).select("*", *vectors())
     stats = scratch(measured, "stats")
-    groups = covariance_determinants(stats.filter("not base_failed"))
-    if keep_row:  # statistics again, rather than a shuffle of all texts
-        rows = docs.select(*columns, F.struct("*").alias("row"))
-        stats = text_statistics(rows, "txt").withColumn("base_failed", base_failed()).select("*", *vectors(), F.monotonically_increasing_id().alias("guard"))
+    groups = covariance_determinants(stats.drop("row").filter("not base_failed"))
     judged = stats.join(groups, same_group(), "left").withColumn("distance", F.when(~F.col("base_failed"), distance()))
     kept = ~F.col("base_failed") & (F.coalesce("distance", F.lit(0.0)) <= LIMIT)
-    if keep_row:  # no filter on kept can be pushed below the row number, where it would repeat all statistics
-        kept = kept & (F.col("guard") >= 0)
     out = ["id", "n_words", "word_chars", "n_symbols", "n_lines", "n_dup_lines", "n_repeat_words", "base_failed", "distance"]
     return judged.select(*out, kept.alias("kept"), *(["row"] if keep_row else []))
