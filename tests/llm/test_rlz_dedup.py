@@ -1,5 +1,8 @@
+import random
+
 import numpy as np
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 
 from tests.llm.brute import corpus, frame, repeats
@@ -38,6 +41,53 @@ def test_one_passage_in_every_document(spark):
     assert result(substring_dedup(frame(spark, rows, 8))) == repeats(rows)
 
 
+def test_texts_of_one_id_with_like_hashes(spark):
+    """Two texts under one id whose hashes agree in the upper 26 bits: the spans
+    of one must not be cut out of the other."""
+    r, seen, like = random.Random(11), {}, None
+    passage = " ".join(f"p{k}" for k in range(30))
+    while like is None:
+        own = " ".join(f"w{r.randrange(10**6)}" for _ in range(4))
+        text = f"{own} {passage}" if r.random() < 0.5 else f"{passage[:40]} {own}"
+        key = xxhash.xxh64(text, seed=42).intdigest() >> 38
+        other = seen.setdefault(key, text)
+        if other != text and (passage in other) != (passage in text):
+            like = [other, text]
+    rows = [(1, passage)] + [(2, t) for t in like]
+    assert result(substring_dedup(frame(spark, rows), window=12, gram=5)) == repeats(rows, 12)
+
+
+def factors_of(start, end, ref, doc=None):
+    start, end, ref = map(np.array, (start, end, ref))
+    return list(zip(*(x.tolist() for x in greedy_factors(start, end, ref, np.zeros(len(start), int) if doc is None else np.array(doc))), strict=True))
+
+
 def test_greedy_factors():
-    got = greedy_factors(*map(np.array, ([0, 3, 5, 30], [10, 12, 25, 40], [1, 2, 2, 1])))
-    assert got == [{"start": 0, "length": 10, "ref": 1}, {"start": 10, "length": 15, "ref": 2}, {"start": 30, "length": 10, "ref": 1}]
+    assert factors_of([0, 3, 5, 30], [10, 12, 25, 40], [1, 2, 2, 1]) == [(0, 10, 1, 0), (10, 25, 2, 0), (30, 40, 1, 0)]
+    # of equal reach, the smallest reference; a reference goes on over spans that touch
+    assert factors_of([0, 0, 10, 4], [10, 10, 20, 16], [7, 3, 7, 3]) == [(0, 20, 7, 0)]
+    # documents side by side aren't run together
+    assert factors_of([0, 10], [10, 20], [1, 1], [0, 1]) == [(0, 10, 1, 0), (10, 20, 1, 1)]
+    assert factors_of([], [], []) == []
+
+
+@pytest.mark.parametrize("seed", range(5))
+def test_greedy_factors_against_a_plain_parse(seed):
+    r = random.Random(seed)
+    spans = sorted({(s, s + r.randint(3, 15), r.randrange(4)) for s in (r.randrange(150) for _ in range(60))})
+    chains = []
+    for ref in range(4):
+        for s, e, _ in (x for x in spans if x[2] == ref):
+            if chains and chains[-1][2] == ref and s <= chains[-1][1]:
+                chains[-1][1] = max(chains[-1][1], e)
+            else:
+                chains.append([s, e, ref])
+    want, at = [], 0
+    while at < 200:
+        reach, _, ref = max(((e, -ref, ref) for s, e, ref in chains if s <= at < e), default=(at, 0, None))
+        if ref is not None:
+            want.append((at, reach, ref))
+        at = max(reach, at + 1)
+    got = [f[:3] for f in factors_of(*zip(*spans, strict=True))]
+    assert [f[:2] for f in got] == [f[:2] for f in want]
+    assert all([s, e, ref] in [[max(a, s), b, c] for a, b, c in chains if a <= s] for s, e, ref in got)
