@@ -11,9 +11,9 @@ zero bytes). A dataset is a folder with
     blocks   shard, place of the first document, ids before it in the shard,
              ids and lengths of the documents, control, data
 
-and ``ids``, the plain ids that the ranks were counted from. All are
-written by Spark as uncompressed Parquet, whose binary columns hold the coded
-bytes. Shards are ranges of doc_id in ascending order, blocks ascending within
+and ``ids``, the plain ids, with the counts of each shard from which the ranks
+come. All are written by Spark as uncompressed Parquet, whose binary columns hold the
+coded bytes. Shards are ranges of doc_id in ascending order, blocks ascending within
 them, so ids lie in the file order of their documents. Decoding looks up the
 lengths, offsets and byte places of four ranks at a time in numpy tables of 256
 rows.
@@ -28,7 +28,7 @@ all tasks is the rank table (a row per vocabulary entry) and a row per shard.
 Blocks hold at most ``BLOCK_IDS`` ids, unless one document has more.
 
 Defined cases: a null or empty text has just the end id. Rows with a null id
-come first; rows that share an id stay together in the order of their texts.
+come first; rows that share an id stay together, in the order of their texts' hashes.
 Extra columns are ignored."""
 
 from __future__ import annotations
@@ -96,13 +96,15 @@ class Store:
 class PieceEncoder:
     """Ids of texts by the tokenizers library, with a cache.
 
-    A text is cut at ASCII white space. All new pieces of a slice go to the
-    library as one text; the offsets that it reports give the ids of each.
-    ASCII pieces are first cut into words by the tokenizer's own pattern, and
-    only new words go to the library: the end-of-word mark, which every word's
-    last token has, tells them apart. A text with the start of an added token is encoded whole."""
+    A text is cut at ASCII white space. Pieces of ``PLAIN`` characters, whose classes
+    and lower case are the same in every version of Unicode and which no normal form
+    joins, are cut into words by the tokenizer's own pattern, and only new words go to
+    the library: the end-of-word mark, which every word's last token has, tells them
+    apart. All other new pieces of a slice go to the library as one text; the offsets
+    that it reports give the ids of each. A text with the start of an added token is encoded whole."""
 
-    PROBE = ["Ab cd", "áb ́c", "It's  1st\n#2..", "ΣΣ Σ", "x\ty\x0bz\x0cq\rw", "I'LL don't've 12"]
+    PLAIN = regex.compile("[\x21-\x7e\xa1-\u012f\u0131-\u017f]+").fullmatch
+    PROBE = ["Ab cd", "áb ́c", "It's  1st\n#2..", "ΣΣ Σ", "x\ty\x0bz\x0cq\rw", "I'LL don't've 12", "ÄÖ's Ÿ¼²x¿Š-Œ ŉ ſ's É1ß", "İ a\xa0b \xadc\x85d"]
 
     def __init__(self, path: str):
         import json
@@ -127,20 +129,19 @@ class PieceEncoder:
     def library(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
 
-    def add_ascii(self, places: np.ndarray, pieces: list[bytes]) -> None:
-        split = [self.words(p.decode()) for p in pieces]
+    def add_plain(self, places: np.ndarray, pieces: list[str]) -> None:
+        split = [self.words(p.lower()) for p in pieces]
         flat = self.known.places(split)
         new = self.known.new()
         if new:
-            ids = np.array(self.tokenizer.encode(" ".join(new), add_special_tokens=False).ids, np.int32)
+            ids = np.array(self.tokenizer.encode_batch_fast([" ".join(new)], add_special_tokens=False)[0].ids, np.int32)
             first = self.known.done
             self.known.add(np.arange(first, first + len(new)), ids, np.flatnonzero(self.ends_word[ids]) + 1)
         self.pieces.add(places, *self.known.gather(flat, split))
 
-    def add_other(self, places: np.ndarray, pieces: list[bytes]) -> None:
-        texts = [p.decode() for p in pieces]
-        got = self.tokenizer.encode(" ".join(texts), add_special_tokens=False)
-        ends = np.cumsum([len(t) + 1 for t in texts])
+    def add_other(self, places: np.ndarray, pieces: list[str]) -> None:
+        got = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        ends = np.cumsum([len(t) + 1 for t in pieces])
         first = np.array([a for a, _ in got.offsets], np.int64)
         self.pieces.add(places, np.array(got.ids, np.int32), np.searchsorted(first, ends))
 
@@ -154,10 +155,10 @@ class PieceEncoder:
         split = [t.lower().split() for t in texts]
         first = self.pieces.done
         flat = self.pieces.places(split)
-        new = self.pieces.new()
+        new = [p.decode() for p in self.pieces.new()]
         if new:
-            plain = np.fromiter(map(bytes.isascii, new), bool, len(new))
-            for chosen, add in ((plain, self.add_ascii), (~plain, self.add_other)):
+            plain = np.fromiter((p.isascii() or self.PLAIN(p) is not None for p in new), bool, len(new))
+            for chosen, add in ((plain, self.add_plain), (~plain, self.add_other)):
                 if chosen.any():
                     add(first + np.flatnonzero(chosen), list(compress(new, chosen.tolist())))
         return self.pieces.gather(flat, split)
@@ -195,6 +196,13 @@ def vbyte_encode(values: np.ndarray) -> tuple[bytes, bytes]:
     """Control bytes and data bytes of unsigned 32-bit values."""
     v = np.zeros(-(-len(values) // 4) * 4, "<u4")
     v[:len(values)] = values
+    if not len(v) or v.max() <= 0xFFFF:  # lengths of one bit, half the bytes to choose from
+        used = np.ones((len(v), 2), bool)
+        used[:, 1] = v > 0xFF
+        four = used[:, 1].view(np.uint8).reshape(-1, 4)
+        control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
+        used[len(values):] = False
+        return control.tobytes(), v.astype("<u2").view(np.uint8).reshape(-1, 2)[used].tobytes()
     length = 1 + (v > 0xFF).astype(np.uint8) + (v > 0xFFFF) + (v > 0xFFFFFF)
     four = (length - 1).reshape(-1, 4)
     control = four[:, 0] | four[:, 1] << 2 | four[:, 2] << 4 | four[:, 3] << 6
@@ -219,9 +227,12 @@ def vbyte_decode(control: bytes, data: bytes, n: int) -> np.ndarray:
 
 def encoded_rows(path: str, end_id: int):
     """Ids of each document as little-endian 32-bit or, if all fit, 16-bit
-    integers, with its place in the shard and the ids before it there."""
+    integers, with its place in the shard and the ids before it there. The last
+    row of a shard, at place -1, holds how often each id occurs in it: the ids as
+    32-bit and then the counts as 64-bit integers."""
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = piece_encoder(path)
+        total = np.zeros(0, np.int64)
         place = before = 0
         for b in batches:
             for texts in text_slices(b.column("txt")):
@@ -239,6 +250,13 @@ def encoded_rows(path: str, end_id: int):
                 got = [bytes(raw[x * step:y * step]) for x, y in zip(starts[:-1].tolist(), starts[1:].tolist(), strict=True)]
                 yield batch(id=b.column("id").slice(texts.first, n), place=np.arange(place, place + n), before=before + starts[:-1], step=np.full(n, step, np.int32), ids=pa.array(got, pa.binary()))
                 place, before = place + n, before + len(flat)
+                count = np.bincount(flat, minlength=len(total))
+                count[:len(total)] += total
+                total = count
+        seen = np.flatnonzero(total)
+        if len(seen):
+            packed = seen.astype("<u4").tobytes() + total[seen].astype("<i8").tobytes()
+            yield batch(id=pa.nulls(1, pa.int64()), place=np.array([-1]), before=np.array([before]), step=np.zeros(1, np.int32), ids=pa.array([packed], pa.binary()))
     return rows
 
 
@@ -247,16 +265,12 @@ def unpacked(ids: pa.Array, step: pa.Array) -> list[np.ndarray]:
 
 
 def count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """How often each id occurs in a task's documents."""
-    total = np.zeros(0, np.int64)
+    """The ids and counts of the shards' last rows."""
     for b in batches:
-        if b.num_rows:
-            got = np.bincount(np.concatenate(unpacked(b.column("ids"), b.column("step"))), minlength=len(total))
-            got[:len(total)] += total
-            total = got
-    seen = np.flatnonzero(total)
-    if len(seen):
-        yield batch(token=seen, k=total[seen])
+        for x in b.column("ids"):
+            raw = x.as_py()
+            n = len(raw) // 12
+            yield batch(token=np.frombuffer(raw, "<u4", n).astype(np.int64), k=np.frombuffer(raw, "<i8", n, 4 * n).astype(np.int64))
 
 
 def block_rows(ranks, block_ids: int):
@@ -301,13 +315,13 @@ def write_token_ids(docs: DataFrame, path: str, tokenizer: str, end_id: int = EN
     ids.withColumn("shard", F.spark_partition_id()).write.parquet(f"{path}/ids")
     # from here on rows carry their shard and place, so it doesn't matter which task reads them
     ids = spark.read.schema(IDS + ", shard int").parquet(f"{path}/ids")
-    counts = ids.select("ids", "step").mapInArrow(count_rows, "token long, k long").groupBy("token").agg(F.sum("k").alias("k")).collect()
+    counts = ids.filter("place < 0").select("ids").mapInArrow(count_rows, "token long, k long").groupBy("token").agg(F.sum("k").alias("k")).collect()
     token, k = (np.array([r[c] for r in counts], np.int64) for c in ("token", "k"))  # at most one row per vocabulary entry
     order = np.lexsort((token, -k))
     rank_of = np.zeros(int(token.max(initial=0)) + 1, np.uint32)
     rank_of[token[order]] = np.arange(len(order))
     spark.createDataFrame(list(zip(range(len(order)), token[order].tolist(), k[order].tolist(), strict=True)), "rank long, token long, k long").coalesce(1).write.parquet(f"{path}/ranks")
-    ids.mapInArrow(block_rows(spark.sparkContext.broadcast(rank_of), block_ids), BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
+    ids.filter("place >= 0").mapInArrow(block_rows(spark.sparkContext.broadcast(rank_of), block_ids), BLOCK).write.option("compression", "uncompressed").parquet(f"{path}/blocks")
     return path
 
 

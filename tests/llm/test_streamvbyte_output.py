@@ -62,3 +62,26 @@ def test_empty_table_repeated_ids_and_ranks(spark, tmp_path):
     assert [r[0] for r in got] == [0, 1, 1, 1] and [r[1] for r in got[:2]] == [0, 5] and got[-1][1] + got[-1][2] == 12
     ranks = {r["rank"]: r.k for r in spark.read.parquet(path + "/ranks").collect()}
     assert [ranks[k] for k in sorted(ranks)] == sorted(ranks.values(), reverse=True)
+
+
+def test_every_plain_character_as_the_library():
+    """Characters that are cut without the library, next to letters, digits, signs and suffixes."""
+    encode, encoder = library(), PieceEncoder(PATH)
+    assert encoder.cached
+    plain = [chr(c) for c in range(0x21, 0x250) if encoder.PLAIN(chr(c))]
+    assert len(plain) > 300 and not encoder.PLAIN("İ") and not encoder.PLAIN("\xa0") and not encoder.PLAIN("á")
+    texts = [t for c in plain for t in (f"a{c}b", f"{c}{c} É{c}", f"1{c}2 {c}'s", f"ß{c}'ll,{c}.")]
+    data, ends = np.frombuffer("".join(texts).encode(), np.uint8), np.cumsum([0, *(len(t.encode()) for t in texts)])
+    ids, bounds = encoder.encode(data, ends)
+    for k, t in enumerate(texts):
+        assert ids[bounds[k]:bounds[k + 1]].tolist() == encode(t), t
+
+
+@pytest.mark.parametrize("top", [0xFF, 0x100, 0xFFFF, 0x10000])
+@pytest.mark.parametrize("n", [0, 1, 3, 4, 5, 1001])
+def test_coding_of_narrow_and_wide_values(top, n):
+    values = np.random.default_rng(n).integers(0, top + 1, n).astype(np.uint32)
+    values[:1] = top
+    control, data = vbyte_encode(values)
+    assert len(control) == -(-n // 4) and len(data) == sum((int(v).bit_length() + 7) // 8 or 1 for v in values)
+    assert (vbyte_decode(control, data, n) == values).all()
