@@ -265,12 +265,18 @@ def unpacked(ids: pa.Array, step: pa.Array) -> list[np.ndarray]:
 
 
 def count_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The ids and counts of the shards' last rows."""
+    """The counts of the shards' last rows, added up over a task's shards."""
+    total = np.zeros(0, np.int64)
     for b in batches:
         for x in b.column("ids"):
             raw = x.as_py()
             n = len(raw) // 12
-            yield batch(token=np.frombuffer(raw, "<u4", n).astype(np.int64), k=np.frombuffer(raw, "<i8", n, 4 * n).astype(np.int64))
+            token = np.frombuffer(raw, "<u4", n)
+            total = np.append(total, np.zeros(max(int(token.max(initial=0)) + 1 - len(total), 0), np.int64))
+            total[token] += np.frombuffer(raw, "<i8", n, 4 * n)
+    seen = np.flatnonzero(total)
+    if len(seen):
+        yield batch(token=seen, k=total[seen])
 
 
 def block_rows(ranks, block_ids: int):
