@@ -1,10 +1,13 @@
 import random
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from tests.llm.brute import contamination, corpus, frame, letter_words
+from termcluster.llm import suffix_decontamination as sd
 from termcluster.llm.suffix_decontamination import decontaminate, items_digest
+from termcluster.llm.textarrays import text_slices
 
 ITEMS = "item_id long, text string"
 
@@ -79,3 +82,38 @@ def test_matches_are_verbatim(spark, block_bytes):
     for r in got:
         assert sorted((m.item, m.start, m.length) for m in r.matches) == brute_matches(dict(rows)[r.id], items)
     assert {tuple(m) for r in got if r.id == 1 for m in r.matches} == {("1", 0, 3), ("1", 2, 3)}
+
+
+@pytest.mark.parametrize("window", [2, 5, 13])
+def test_beginnings_lose_no_match(monkeypatch, window):
+    """Hits against plain comparison, whatever the number of words of a beginning."""
+    r = random.Random(window)
+    texts = [" ".join(r.choice("abcd") for _ in range(r.randrange(60))) for _ in range(40)]
+    items = [" ".join(r.choice("abcde") for _ in range(r.choice([0, 1, 2, 3, 4, 5, 14, 30]))) for _ in range(30)]
+    items += [texts[k][2:40] for k in range(5)]
+    expected = set()
+    for k, t in enumerate(texts):
+        v = t.split()
+        for item in items:
+            w = item.split()
+            for a in range(max(len(w) - window, 0) + 1 if w else 0):
+                size = len(w[a:a + window])
+                expected |= {(k, p, size) for p in range(len(v) - size + 1) if v[p:p + size] == w[a:a + window]}
+    for prefix in (1, 4, 13, 20):
+        monkeypatch.setattr(sd, "PREFIX", prefix)
+        tests = sd.Suffixes([str(k) for k in range(len(items))], pa.array(items), window)
+        got = set()
+        for part in text_slices(pa.array(texts), 300):
+            _, text, start, length, _ = sd.shard_matches(part, tests, window)
+            got |= set(zip((text + part.first).tolist(), start.tolist(), length.tolist(), strict=True))
+        assert got == expected
+
+
+def test_blocks_hold_every_item_once(spark):
+    rows = [(k, f"item {k} " * 20) for k in range(50)]
+    frame_of = spark.createDataFrame(rows + rows + [(1, None), (None, "no id")], ITEMS)
+    for block_bytes in (1 << 20, 2000, 1):
+        path, n = sd.item_blocks(frame_of, "item_id", "text", block_bytes)
+        assert n == {1 << 20: 1, 2000: 5, 1: 51}[block_bytes] or (block_bytes == 2000 and n <= 6)
+        names = [x for k in range(n) for x in sd.block_suffixes(path, k, 13).names]
+        assert sorted(names, key=str) == sorted([*(str(k) for k in range(50)), None], key=str)
