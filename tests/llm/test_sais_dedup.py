@@ -71,3 +71,30 @@ def test_production_parameters_and_empty_table(spark):
     assert result(got) == byte_repeats(rows)
     assert all(len(r.kept) == r.n_bytes - r.n_removed for r in got.collect())
     assert byte_dedup(frame(spark, [])).collect() == []
+
+
+def test_passage_with_many_surroundings_sends_few_bytes(spark, monkeypatch):
+    """Blocks of one anchor are many here, but few of their strings repeat."""
+    r = random.Random(5)
+
+    def noise(n):
+        return "".join(r.choice("abcdefgh") for _ in range(n))
+
+    passage, sent = noise(50), spark.sparkContext.accumulator(0)
+    texts = [noise(r.randrange(60, 90)) + passage + noise(r.randrange(60, 90)) for _ in range(300)]
+    rows = list(enumerate(texts)) + [(1000 + i, texts[i][20:150] + noise(40)) for i in range(0, 300, 20)]
+    shards = sais_dedup.shard_rows
+
+    def counted(length):
+        search = shards(length)
+
+        def count(batches):
+            for b in batches:
+                sent.add(sum(map(len, b.column("bytes").to_pylist())))
+                yield b
+
+        return lambda batches: search(count(batches))
+
+    monkeypatch.setattr(sais_dedup, "shard_rows", counted)
+    assert result(byte_dedup(frame(spark, rows), length=60, gram=12, blocks_per_shard=10)) == byte_repeats(rows, 60)
+    assert sent.value < sum(len(t) for _, t in rows)
